@@ -1,0 +1,21 @@
+"""Join helpers: size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Bounded work: each task stops after ``max_rows + 1`` rows, so probing a
+    huge table costs no more than probing a small one.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, allowed: bool) -> DataFrame:
+    """Broadcast hint only when a size check allowed it; otherwise leave the
+    choice to Spark (sort-merge join, AQE may still switch at runtime)."""
+    return F.broadcast(df) if allowed else df
