@@ -113,7 +113,7 @@ def _versions(raw: Callable[[str], DataFrame], table: str) -> DataFrame:
     return raw(table).crossJoin(F.broadcast(raw("region").select("r_regionkey")))
 
 
-def clusters(raw: Callable[[str], DataFrame], with_state: bool = False) -> DataFrame:
+def clusters(raw: Callable[[str], DataFrame], with_state: bool = True) -> DataFrame:
     c = F.col
     key = c("s_suppkey")
     cols = [
@@ -215,4 +215,6 @@ def raw_reader(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
 
 def loaders(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
     raw = raw_reader(spark, sf_dir)
-    return {name: (lambda fn=fn: fn(raw)) for name, fn in DERIVATIONS.items()}
+    out = {name: (lambda fn=fn: fn(raw)) for name, fn in DERIVATIONS.items()}
+    out["conversations"] = lambda: raw("conversations")
+    return out

@@ -21,6 +21,9 @@ PLATFORM_TABLES = {
     "query_history": "system.query.history",
 }
 
+# Tables that are not telemetry sources but feed a query (N2 reads response texts).
+EXTRA_TABLES = ("conversations",)
+
 # A price list is a small dimension (SKUs x price versions). It is broadcast
 # only after a bounded probe confirms it has at most this many rows; beyond
 # that the price join runs as a shuffle join on sku_name (AQE splits hot SKUs).
@@ -37,7 +40,7 @@ class Telemetry:
 
     def __init__(self, spark: SparkSession, loaders: Mapping[str, Callable[[], DataFrame]],
                  price_broadcast_max_rows: int = PRICE_BROADCAST_MAX_ROWS):
-        unknown = set(loaders) - set(SOURCES)
+        unknown = set(loaders) - set(SOURCES) - set(EXTRA_TABLES)
         if unknown:
             raise ValueError(f"unknown sources: {sorted(unknown)}")
         self.spark = spark
