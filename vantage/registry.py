@@ -52,10 +52,21 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+_TELEMETRY: dict[tuple[int, str], Telemetry] = {}
+
+
+def telemetry(spark: SparkSession, sf_dir: str) -> Telemetry:
+    """One ``Telemetry`` per (session, data directory): source frames and the
+    price-list size probe are shared by all queries run on it."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _TELEMETRY:
+        _TELEMETRY[key] = Telemetry.from_testdata(spark, sf_dir)
+    return _TELEMETRY[key]
+
+
 def run(spark: SparkSession, sf_dir: str, name: str, as_of: str = AS_OF) -> DataFrame:
     _load()
-    t = Telemetry.from_testdata(spark, sf_dir)
-    return comparable(REGISTRY[name].plan(t, AsOf(as_of)))
+    return comparable(REGISTRY[name].plan(telemetry(spark, sf_dir), AsOf(as_of)))
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

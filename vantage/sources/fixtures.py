@@ -209,8 +209,30 @@ DERIVATIONS: dict[str, Callable[[Callable[[str], DataFrame]], DataFrame]] = {
 }
 
 
+# Columns of the raw test tables that the derivation reads. Declaring them skips
+# parquet schema inference (a Spark job per read) and prunes every other column.
+RAW_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderpriority STRING",
+    "part": "p_partkey BIGINT, p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING",
+    "customer": "c_custkey BIGINT, c_name STRING",
+    "nation": "n_nationkey INT, n_name STRING",
+    "region": "r_regionkey INT",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
+
 def raw_reader(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
-    return lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    def read(name: str) -> DataFrame:
+        reader = spark.read
+        if name in RAW_SCHEMAS:
+            reader = reader.schema(RAW_SCHEMAS[name])
+        return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+    return read
 
 
 def loaders(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:

@@ -80,6 +80,9 @@ class Telemetry:
             self._frames[name] = self._loaders[name]()
         return self._frames[name]
 
+    def available(self) -> list[str]:
+        return list(self._loaders)
+
     usage = property(lambda self: self.table("usage"))
     list_prices = property(lambda self: self.table("list_prices"))
     audit = property(lambda self: self.table("audit"))
