@@ -1,0 +1,65 @@
+"""Security anomaly rules (V4a-c) and governance posture."""
+
+from tests.conftest import AS_OF, telemetry, ts
+from vantage.functions.time import AsOf
+from vantage.plans import alerts, summary, views
+
+A = AsOf(AS_OF)
+
+
+def deletes(n, email, start_id=0, workspace="1"):
+    return [dict(event_id=start_id + i, action_name="deleteTable", user_identity=(email,), workspace_id=workspace,
+                 event_time=ts(f"2024-01-30 10:{i:02d}:00")) for i in range(n)]
+
+
+def test_burst_threshold_is_strict(spark):
+    t = telemetry(spark, audit=deletes(10, "a@x.com") + deletes(11, "b@x.com", 100))
+    rows = views.destructive_bursts(t, A).collect()
+    assert [r.user_email for r in rows] == ["b@x.com"]
+    assert rows[0].detail == "11 delete operations in 1 hour" and rows[0].source_ip_address == ""
+    assert rows[0].event_time == ts("2024-01-30 10:10:00")
+
+
+def test_null_email_and_service_users_are_not_bursts(spark):
+    t = telemetry(spark, audit=deletes(11, None) + deletes(11, "System-User-1", 100))
+    assert views.destructive_bursts(t, A).count() == 0
+    (posture,) = summary.governance_posture(t, A).collect()
+    assert posture.destructive_ops_24h == 22 and posture.users_with_destructive_ops == 1
+
+
+def test_admin_change_without_target_name_has_null_detail(spark):
+    rows = [dict(action_name="addPrincipalToGroup", request_params={"targetGroupName": "admins"}),
+            dict(event_id=2, action_name="removePrincipalFromGroup",
+                 request_params={"targetGroupName": "admins", "targetUserName": "x@x.com"}),
+            dict(event_id=3, action_name="addPrincipalToGroup", request_params={"targetGroupName": "users"})]
+    t = telemetry(spark, audit=rows)
+    got = sorted((r.detail is None, r.detail) for r in views.admin_group_changes(t, A).collect())
+    assert got == [(False, "removePrincipalFromGroup: x@x.com"), (True, None)]
+
+
+def test_union_and_alert_count(spark):
+    rows = [dict(action_name="IpAccessDenied"), dict(event_id=2, action_name="accountIpAclsValidationFailed"),
+            dict(event_id=3, action_name="IpAccessDenied", event_date=ts("2024-01-01 00:00:00").date())]
+    t = telemetry(spark, audit=rows + deletes(12, "c@x.com", 100))
+    anomalies = views.security_anomalies(t, A)
+    assert anomalies.count() == 3
+    assert alerts.security_alert(t, A).first().anomaly_count == 3
+
+
+def test_posture_null_workspace_stays_null_and_counts_zero_fill(spark):
+    rows = [dict(workspace_id=None, service_name="unityCatalog", action_name="updatePermissions"),
+            dict(event_id=2, workspace_id=None, action_name="IpAccessDenied"),
+            dict(event_id=3, workspace_id="2", action_name="addPrincipalToGroup",
+                 request_params={"targetGroupName": "admins"}),
+            dict(event_id=4, workspace_id="3", action_name="getTable")]
+    t = telemetry(spark, audit=rows)
+    got = {r.workspace_id: r for r in summary.governance_posture(t, A).collect()}
+    assert set(got) == {None, "2"}  # workspace 3 has no hit
+    assert got[None].permission_changes_24h == 1 and got[None].ip_denials_24h == 1
+    assert got[None].admin_group_changes_24h == 0 and got["2"].admin_group_changes_24h == 1
+
+
+def test_posture_is_one_scan_one_aggregate(spark):
+    t = telemetry(spark, audit=[dict()])
+    plan = summary.governance_posture(t, A)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vantage.functions.numeric import exact_mean
 from vantage.functions.time import AsOf, since_days
 from vantage.plans.gold import Gold
-from vantage.plans.views import ANOMALY_ORDER, DRIVER_ORDER
+from vantage.plans.views import anomaly_order, driver_order
 from vantage.sources.telemetry import Telemetry
 
 col = F.col
@@ -57,7 +57,7 @@ def cost_by_product(t: Telemetry, as_of=None, gold=None) -> DataFrame:
 
 def first_cost_drivers(t: Telemetry, as_of=None, gold=None, limit: int = 20) -> DataFrame:
     """The first 20 rows of the top-cost-driver view."""
-    return _gold(t, as_of, gold)["v_top_cost_drivers"].orderBy(*DRIVER_ORDER).limit(limit)
+    return _gold(t, as_of, gold)["v_top_cost_drivers"].orderBy(*driver_order()).limit(limit)
 
 
 def idle_clusters(t: Telemetry, as_of=None, gold=None, status: str = "IDLE") -> DataFrame:
@@ -114,7 +114,7 @@ def anomaly_count(t: Telemetry, as_of=None, gold=None) -> DataFrame:
 
 def latest_anomalies(t: Telemetry, as_of=None, gold=None, limit: int = 50) -> DataFrame:
     """The 50 latest anomalies."""
-    return _gold(t, as_of, gold)["v_security_anomalies"].orderBy(*ANOMALY_ORDER).limit(limit)
+    return _gold(t, as_of, gold)["v_security_anomalies"].orderBy(*anomaly_order()).limit(limit)
 
 
 def posture_by_workspace(t: Telemetry, as_of=None, gold=None) -> DataFrame:
@@ -131,18 +131,19 @@ def user_totals(t: Telemetry, as_of=None, gold=None) -> DataFrame:
                   F.sum("estimated_cost_30d").alias("total_user_cost"))
 
 
-USER_ORDER = [col("estimated_cost_30d").desc_nulls_last(), col("user_email").asc_nulls_last(),
-              col("workspace_id").asc_nulls_last()]
+def user_order() -> list:
+    return [col("estimated_cost_30d").desc_nulls_last(), col("user_email").asc_nulls_last(),
+            col("workspace_id").asc_nulls_last()]
 
 
 def top_users_by_cost(t: Telemetry, as_of=None, gold=None, limit: int = 20) -> DataFrame:
     """Top 20 users by 30-day cost (users with a cost)."""
     return (_gold(t, as_of, gold)["gold_user_activity"].filter(col("estimated_cost_30d").isNotNull())
-            .orderBy(*USER_ORDER).limit(limit)
+            .orderBy(*user_order()).limit(limit)
             .select("user_email", "estimated_cost_30d", "login_count_30d", "active_days"))
 
 
 def user_activity_list(t: Telemetry, as_of=None, gold=None, limit: int = 25) -> DataFrame:
     """25 users, cost descending with nulls last."""
-    return (_gold(t, as_of, gold)["gold_user_activity"].orderBy(*USER_ORDER).limit(limit)
+    return (_gold(t, as_of, gold)["gold_user_activity"].orderBy(*user_order()).limit(limit)
             .select("user_email", "login_count_30d", "active_days", "last_login", "estimated_cost_30d"))

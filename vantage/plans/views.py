@@ -79,12 +79,14 @@ def top_cost_drivers(t: Telemetry, as_of=None, limit: int = 50) -> DataFrame:
                              workload.alias("workload_name"))
                .agg(F.sum("usage_quantity").alias("total_dbus"),
                     F.sum("cost").alias("estimated_cost_usd")))
-    return grouped.orderBy(*DRIVER_ORDER).limit(limit)
+    return grouped.orderBy(*driver_order()).limit(limit)
 
 
-DRIVER_ORDER = [col("estimated_cost_usd").desc_nulls_last(), col("user_or_sp").asc_nulls_last(),
-                col("product").asc_nulls_last(), col("sku_name").asc_nulls_last(),
-                col("workload_name").asc_nulls_last()]
+def driver_order() -> list:
+    """Cost descending, then the group key (deterministic top-k)."""
+    return [col("estimated_cost_usd").desc_nulls_last(), col("user_or_sp").asc_nulls_last(),
+            col("product").asc_nulls_last(), col("sku_name").asc_nulls_last(),
+            col("workload_name").asc_nulls_last()]
 
 
 def _recent_audit(t: Telemetry, as_of) -> DataFrame:
@@ -133,9 +135,11 @@ def security_anomalies(t: Telemetry, as_of=None, min_ops: int = DESTRUCTIVE_MIN_
             .unionByName(admin_group_changes(t, as_of)))
 
 
-ANOMALY_ORDER = [col("event_time").desc_nulls_last(), col("anomaly_type").asc(),
-                 col("workspace_id").asc_nulls_last(), col("user_email").asc_nulls_last(),
-                 col("detail").asc_nulls_last(), col("source_ip_address").asc_nulls_last()]
+def anomaly_order() -> list:
+    """Newest first, then every column (deterministic top-k)."""
+    return [col("event_time").desc_nulls_last(), col("anomaly_type").asc(),
+            col("workspace_id").asc_nulls_last(), col("user_email").asc_nulls_last(),
+            col("detail").asc_nulls_last(), col("source_ip_address").asc_nulls_last()]
 
 
 def query_performance(t: Telemetry, as_of=None) -> DataFrame:
