@@ -17,7 +17,11 @@ AS_OF = "2024-01-31 00:00:00"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app_name="vantage-tests", shuffle_partitions=8)
+    import tempfile
+
+    scratch = tempfile.mkdtemp(prefix="vantage-tests-")
+    s = build_session("local[4]", app_name="vantage-tests", shuffle_partitions=8,
+                      conf={"spark.sql.warehouse.dir": f"{scratch}/warehouse"})
     yield s
     s.stop()
 
