@@ -63,3 +63,18 @@ def test_posture_is_one_scan_one_aggregate(spark):
     t = telemetry(spark, audit=[dict()])
     plan = summary.governance_posture(t, A)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_posture_forms_agree_on_non_null_workspaces(spark):
+    rows = []
+    actions = ["updatePermissions", "IpAccessDenied", "deleteJob", "addPrincipalToGroup", "getTable"]
+    for i in range(40):
+        rows.append(dict(event_id=i, workspace_id=str(i % 4), action_name=actions[i % 5],
+                         service_name="unityCatalog" if i % 2 == 0 else "workspace",
+                         user_identity=(f"u{i % 3}@x.com",),
+                         request_params={"targetGroupName": "admins" if i % 3 == 0 else "users"}))
+    t = telemetry(spark, audit=rows)
+    one = sorted(tuple(r) for r in summary.governance_posture(t, A).collect())
+    joined = summary.governance_posture_by_joins(t, A)
+    two = sorted(tuple(r) for r in joined.select(*summary.governance_posture(t, A).columns).collect())
+    assert one == two and len(one) == 4
