@@ -32,7 +32,7 @@ def test_extract_keeps_every_row(spark):
     assert [r.extracted_sql for r in out] == ["SELECT 1", "x"]
 
 
-def test_context_json_one_document_per_day(spark):
+def test_context_json_one_document_per_day_and_workspace(spark):
     usage = [dict(usage_quantity=money(2), sku_name=f"SKU_{i}") for i in range(3)]
     t = telemetry(spark, usage=usage)
     (row,) = context.cost_context_json(t, AsOf(AS_OF)).collect()

@@ -14,18 +14,20 @@ col = F.col
 
 
 def cost_context_json(t: Telemetry, as_of=None, gold: Gold | None = None, days: int = 7) -> DataFrame:
-    """The last ``days`` days of daily cost as JSON, one document per day.
+    """The last ``days`` days of daily cost as JSON, one document per
+    (day, workspace).
 
-    Each document is the day's rows (sorted) as a JSON array; a day holds one
-    row per (workspace, product, SKU), so no document grows with usage volume.
+    Each document is that workspace's rows of the day (sorted) as a JSON array:
+    one entry per (product, SKU), so no document grows with usage volume or
+    with the number of workspaces.
     """
     a = AsOf.of(as_of)
     cost = (gold or Gold(t, a))["gold_cost_daily"].filter(since_days("date", a, days))
-    row = F.struct(col("workspace_id"), col("product"), col("sku_name"),
+    row = F.struct(col("product"), col("sku_name"),
                    col("total_dbus").cast("double").alias("total_dbus"),
                    col("estimated_cost_usd").cast("double").alias("estimated_cost_usd"),
                    col("unique_users"))
-    return (cost.groupBy("date")
+    return (cost.groupBy("date", "workspace_id")
             .agg(F.to_json(F.array_sort(F.collect_list(row)), {"ignoreNullFields": "false"}).alias("context_json")))
 
 

@@ -35,12 +35,17 @@ def _event_time(df: DataFrame, name: str, delay: str) -> DataFrame:
 
 
 def hourly_cost_stream(usage: DataFrame, prices: DataFrame, watermark: str = "2 hours",
-                       broadcast_prices: bool = True) -> DataFrame:
+                       broadcast_prices: bool | None = None) -> DataFrame:
     """Priced (inner) cost per usage-start hour, final once the hour closes.
 
-    The price list is a static (batch) side of a stream-static join; it is
-    broadcast when the caller's size check allows it.
+    The price list is the static (batch) side of a stream-static join. It is
+    broadcast only when a bounded probe shows it is small (or the caller says so).
     """
+    if broadcast_prices is None:
+        from vantage.operators.joins import has_at_most
+        from vantage.sources.telemetry import PRICE_BROADCAST_MAX_ROWS
+
+        broadcast_prices = has_at_most(prices, PRICE_BROADCAST_MAX_ROWS)
     priced = price_usage(_event_time(usage, "usage_start_time", watermark), prices, how="inner",
                          broadcast_prices=broadcast_prices)
     return (priced.groupBy(F.window("usage_start_time", "1 hour").alias("w"))
