@@ -49,3 +49,15 @@ def test_termination_log_appends(spark, schema):
 def test_identifiers_are_checked(spark):
     with pytest.raises(ValueError):
         store.create_schema(spark, "x; DROP TABLE y")
+
+
+def test_refresh_and_cleanup_jobs(spark, schema):
+    from vantage import refresh
+
+    t = telemetry(spark, usage=[dict(usage_quantity=money(4))], list_prices=[dict(pricing=((money(2),),))],
+                  clusters=[dict(cluster_id="c-1", cluster_name="idle-one")])
+    tables = refresh.refresh(spark, t, "vantage_jobs", AsOf(AS_OF))
+    assert set(tables) == set(store.TABLE_COMMENTS)
+    todo = refresh.cleanup(spark, t, "vantage_jobs", "vantage_jobs.termination_log", as_of=AsOf(AS_OF))
+    assert [r.cluster_name for r in todo.collect()] == ["idle-one"]
+    assert spark.table("vantage_jobs.termination_log").first().cluster_names == ["idle-one"]

@@ -45,5 +45,6 @@ class Gold:
     @classmethod
     def from_schema(cls, t: Telemetry, schema: str, as_of=None) -> "Gold":
         spark = t.spark
-        have = {r.tableName for r in spark.sql(f"SHOW TABLES IN {schema}").collect()}
+        listing = spark.sql(f"SHOW TABLES IN {schema}").filter("NOT isTemporary")
+        have = {r.tableName for r in listing.collect()}  # catalog metadata: a handful of names
         return cls(t, as_of, {n: spark.table(f"{schema}.{n}") for n in BUILDERS if n in have})
