@@ -61,3 +61,16 @@ def test_refresh_and_cleanup_jobs(spark, schema):
     todo = refresh.cleanup(spark, t, "vantage_jobs", "vantage_jobs.termination_log", as_of=AsOf(AS_OF))
     assert [r.cluster_name for r in todo.collect()] == ["idle-one"]
     assert spark.table("vantage_jobs.termination_log").first().cluster_names == ["idle-one"]
+
+
+def test_failed_refresh_keeps_previous_table(spark, schema):
+    from pyspark.sql import functions as F
+
+    table = f"{schema}.keep_me"
+    store.write_table(spark.range(3), table, "first")
+    bad = spark.range(5).withColumn("x", F.assert_true(F.col("id") < 2))
+    with pytest.raises(Exception):
+        store.write_table(bad, table, "second")
+    assert spark.table(table).count() == 3
+    store.write_table(spark.range(4), table, "third")
+    assert spark.table(table).count() == 4

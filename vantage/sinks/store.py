@@ -44,13 +44,25 @@ def create_schema(spark: SparkSession, schema: str, comment: str | None = None)
 
 
 def write_table(df: DataFrame, table: str, comment: str | None = None, partition_by: list[str] | None = None) -> None:
-    """K1: full refresh of a summary table (overwrite), with a table comment."""
+    """K1: full refresh of a summary table, with a table comment.
+
+    The new contents are written completely to a staging table first and only
+    then swapped in, so a refresh that fails part-way (lost executors beyond
+    Spark's task retries, a killed job) leaves the previous table intact.
+    """
+    spark = df.sparkSession
+    staging = _ident(table) + "__staging"
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(_ident(table))
+    writer.saveAsTable(staging)
     if comment:
-        df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('comment' = {_quote(comment)})")
+        spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ('comment' = {_quote(comment)})")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
 def refresh_summaries(t: Telemetry, schema: str, as_of=None) -> dict[str, str]:
