@@ -17,24 +17,28 @@ hours = st.integers(min_value=0, max_value=60)
 price_rows = st.lists(st.tuples(st.sampled_from(["A", "B"]), hours, st.one_of(st.none(), st.integers(1, 30)),
                                 st.integers(1, 9)), max_size=6)
 usage_rows = st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), hours, st.integers(1, 5)), max_size=12)
-SETTINGS = settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=14, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 @SETTINGS
-@given(prices=price_rows, usage=usage_rows, how=st.sampled_from(["left", "inner"]))
-def test_price_join_matches_brute_force(spark, prices, usage, how):
+@given(prices=price_rows, usage=usage_rows, how=st.sampled_from(["left", "inner"]), broadcast=st.booleans())
+def test_price_join_matches_brute_force(spark, prices, usage, how, broadcast):
     p = [dict(sku_name=s, price_start_time=T0 + dt.timedelta(hours=h),
               price_end_time=None if n is None else T0 + dt.timedelta(hours=h + n), pricing=((Decimal(v),),))
          for s, h, n, v in prices]
     u = [dict(sku_name=s, usage_end_time=T0 + dt.timedelta(hours=h), usage_quantity=Decimal(q),
               workspace_id=str(i)) for i, (s, h, q) in enumerate(usage)]
+    if u:  # a row with a null SKU and one with a null end time
+        u.append(dict(sku_name=None, usage_end_time=T0, usage_quantity=Decimal(1), workspace_id="n1"))
+        u.append(dict(sku_name="A", usage_end_time=None, usage_quantity=Decimal(1), workspace_id="n2"))
     t = telemetry(spark, usage=u, list_prices=p)
     got = Counter((r.workspace_id, r.list_price) for r in
-                  price_usage(t.usage, t.list_prices, how=how, broadcast_prices=True).collect())
+                  price_usage(t.usage, t.list_prices, how=how, broadcast_prices=broadcast).collect())
     want = Counter()
     for row in u:
         hits = [x["pricing"][0][0] for x in p
-                if x["sku_name"] == row["sku_name"] and row["usage_end_time"] >= x["price_start_time"]
+                if row["sku_name"] is not None and row["usage_end_time"] is not None
+                and x["sku_name"] == row["sku_name"] and row["usage_end_time"] >= x["price_start_time"]
                 and (x["price_end_time"] is None or row["usage_end_time"] < x["price_end_time"])]
         for h in hits:
             want[(row["workspace_id"], h)] += 1

@@ -9,9 +9,11 @@ exactly at its end is in the next. Overlapping versions multiply a usage row
 
 Physical plan: the equality on ``sku_name`` drives a hash join and the
 interval is a residual condition. The price list is broadcast when a bounded
-probe shows it is small (it is a dimension: SKUs x versions); otherwise the
-join shuffles on ``sku_name`` and AQE's skew handling splits hot SKUs on the
-usage side.
+probe shows it is small (it is a dimension: SKUs x versions). Otherwise usage
+is never shuffled on ``sku_name`` (a few hundred values: one task per SKU at
+scale). Instead the distinct ``(sku_name, usage_end_time)`` keys are priced
+first, which is small (billing is hourly), and usage joins the priced keys on
+that high-cardinality pair.
 """
 
 from __future__ import annotations
@@ -39,18 +41,47 @@ def price_usage(usage: DataFrame, prices: DataFrame, how: str = "left",
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
+    if not broadcast_prices:
+        return _price_by_keys(usage, prices, how)
     u = usage.alias("u")
     p = maybe_broadcast(flat_prices(prices), broadcast_prices).alias("p")
-    cond = ((F.col("u.sku_name") == F.col("p.sku_name"))
-            & (F.col("u.usage_end_time") >= F.col("p.price_start_time"))
-            & (F.col("p.price_end_time").isNull() | (F.col("u.usage_end_time") < F.col("p.price_end_time"))))
-    return u.join(p, cond, how).select(
+    return u.join(p, _valid_at(F.col("u.sku_name"), F.col("u.usage_end_time")), how).select(
         "u.*",
         F.col("p.list_price"),
         (F.col("u.usage_quantity") * F.col("p.list_price")).alias("cost"),
     )
 
 
+def _valid_at(sku, end_time):
+    return ((sku == F.col("p.sku_name"))
+            & (end_time >= F.col("p.price_start_time"))
+            & (F.col("p.price_end_time").isNull() | (end_time < F.col("p.price_end_time"))))
+
+
+def _price_by_keys(usage: DataFrame, prices: DataFrame, how: str) -> DataFrame:
+    """Shuffle-join form for a price list too large to broadcast.
+
+    1. distinct (sku_name, usage_end_time) keys of usage (partial aggregation
+       before the shuffle);
+    2. price the keys (left join: unpriced keys keep a null price; overlapping
+       versions give several rows, as in the direct join);
+    3. usage joins the priced keys on the pair with null-safe equality, so the
+       large shuffle is keyed on SKU x time and a row with a null SKU or time
+       still meets its (null-priced) key. Same rows as the direct join.
+    """
+    keys = usage.select(F.col("sku_name").alias("k_sku"), F.col("usage_end_time").alias("k_end")).distinct()
+    p = flat_prices(prices).alias("p")
+    priced_keys = keys.join(p, _valid_at(F.col("k_sku"), F.col("k_end")), how).select(
+        "k_sku", "k_end", "list_price")
+    u = usage.alias("u")
+    on = (F.col("u.sku_name").eqNullSafe(F.col("k_sku"))) & (F.col("u.usage_end_time").eqNullSafe(F.col("k_end")))
+    return u.join(priced_keys, on, "inner").select(
+        "u.*",
+        F.col("list_price"),
+        (F.col("u.usage_quantity") * F.col("list_price")).alias("cost"),
+    )
+
+
 def price_overlaps(prices: DataFrame) -> DataFrame:
     """Pairs of consecutive versions of one SKU whose validity intervals overlap.
 
