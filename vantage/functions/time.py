@@ -8,6 +8,7 @@ the parquet scan as a plain literal comparison (``PushedFilters``).
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,11 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class AsOf:
-    """The evaluation instant. ``None`` means the session's current time."""
+    """The evaluation instant. ``None`` means the session's current time.
+
+    Its columns are SQL literal expressions (one JVM call each); the instant is
+    parsed and re-printed first, so only a well-formed timestamp reaches the text.
+    """
 
     instant: str | _dt.datetime | _dt.date | None = None
 
@@ -29,43 +34,62 @@ class AsOf:
         v = self.instant
         if v is None:
             return None
-        if isinstance(v, _dt.datetime):
-            return v.strftime("%Y-%m-%d %H:%M:%S.%f")
-        if isinstance(v, _dt.date):
-            return v.strftime("%Y-%m-%d 00:00:00")
-        return str(v)
+        if isinstance(v, str):
+            v = _dt.datetime.fromisoformat(v)
+        if not isinstance(v, _dt.datetime):
+            v = _dt.datetime(v.year, v.month, v.day)
+        return v.strftime("%Y-%m-%d %H:%M:%S.%f")
+
+    def sql_ts(self) -> str:
+        text = self._text()
+        return "current_timestamp()" if text is None else f"TIMESTAMP_NTZ '{text}'"
+
+    def sql_date(self) -> str:
+        text = self._text()
+        return "current_date()" if text is None else f"DATE '{text[:10]}'"
 
     def ts(self) -> Column:
         """The instant as a wall-clock timestamp (no zone conversion)."""
-        text = self._text()
-        return F.current_timestamp() if text is None else F.to_timestamp_ntz(F.lit(text))
+        return F.expr(self.sql_ts())
 
     def date(self) -> Column:
-        text = self._text()
-        return F.current_date() if text is None else F.to_date(F.lit(text[:10]))
+        return F.expr(self.sql_date())
+
+    def sql_days_ago(self, days: int) -> str:
+        return f"date_sub({self.sql_date()}, {int(days)})"
 
     def days_ago(self, days: int) -> Column:
         """``current_date - INTERVAL n DAYS`` (a date)."""
-        return F.date_sub(self.date(), days)
+        return F.expr(self.sql_days_ago(days))
 
     def months_ago(self, months: int) -> Column:
-        return F.add_months(self.date(), -months)
+        return F.expr(f"add_months({self.sql_date()}, {-int(months)})")
 
     def month_start(self) -> Column:
-        return F.trunc(self.date(), "MM")
+        return F.expr(f"trunc({self.sql_date()}, 'MM')")
+
+    def sql_minus(self, days: int = 0, hours: int = 0) -> str:
+        return f"{self.sql_ts()} - make_dt_interval({int(days)}, {int(hours)}, 0, 0)"
 
     def minus(self, days: int = 0, hours: int = 0) -> Column:
         """``current_timestamp - INTERVAL ...`` (a timestamp)."""
-        return self.ts() - F.make_dt_interval(days=F.lit(days), hours=F.lit(hours))
+        return F.expr(self.sql_minus(days, hours))
+
+
+_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)*$")
 
 
 def since_days(date_col: str | Column, as_of: AsOf, days: int) -> Column:
     """Trailing-day window on a date column: ``col >= as_of_date - days``."""
+    if isinstance(date_col, str) and _NAME.match(date_col):
+        return F.expr(f"{date_col} >= {as_of.sql_days_ago(days)}")
     return _c(date_col) >= as_of.days_ago(days)
 
 
 def since_interval(ts_col: str | Column, as_of: AsOf, days: int = 0, hours: int = 0) -> Column:
     """Trailing window on a timestamp column: ``col >= as_of - interval``."""
+    if isinstance(ts_col, str) and _NAME.match(ts_col):
+        return F.expr(f"{ts_col} >= {as_of.sql_minus(days, hours)}")
     return _c(ts_col) >= as_of.minus(days=days, hours=hours)
 
 

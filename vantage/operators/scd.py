@@ -19,7 +19,12 @@ def latest_version(df: DataFrame, keys: Sequence[str], order_col: str = "change_
     ``tiebreak`` orders rows with equal ``order_col`` (descending) so the result
     is deterministic.
     """
-    order = [F.col(order_col).desc_nulls_last()]
-    order += [(F.col(t) if isinstance(t, str) else t).desc_nulls_last() for t in tiebreak]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    if all(isinstance(t, str) for t in tiebreak):
+        order = ", ".join(f"`{c}` DESC NULLS LAST" for c in [order_col, *tiebreak])
+        part = ", ".join(f"`{k}`" for k in keys)
+        rank = F.expr(f"row_number() OVER (PARTITION BY {part} ORDER BY {order})")
+    else:
+        order = [F.col(order_col).desc_nulls_last()]
+        order += [(F.col(t) if isinstance(t, str) else t).desc_nulls_last() for t in tiebreak]
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rn", rank).filter("_rn = 1").drop("_rn")

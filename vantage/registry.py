@@ -40,16 +40,15 @@ def register(name: str, plan: PlanFn, oracle: str | None, doc: str = "") -> None
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Top-level output normalisation shared with the oracle."""
-    cols = []
+    """Top-level output normalisation shared with the oracle (only the
+    columns that need it are touched; column order is kept)."""
+    casts = {}
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.TimestampType):
-            c = c.cast(T.TimestampNTZType())
+            casts[f.name] = F.col(f"`{f.name}`").cast(T.TimestampNTZType())
         elif isinstance(f.dataType, T.DecimalType):
-            c = c.cast(T.DoubleType())
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            casts[f.name] = F.col(f"`{f.name}`").cast(T.DoubleType())
+    return df.withColumns(casts) if casts else df
 
 
 _TELEMETRY: dict[tuple[int, str], Telemetry] = {}
