@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vantage.functions.numeric import exact_mean
 from vantage.functions.time import AsOf, since_days, since_interval
-from vantage.plans.summary import compute_inventory
+from vantage.plans.summary import RUN_FAILED, compute_inventory
 from vantage.plans.views import DESTRUCTIVE_MIN_OPS, security_anomalies
 from vantage.sources.telemetry import Telemetry
 
@@ -49,7 +49,7 @@ def idle_compute(t: Telemetry, as_of=None, flag: str = "IDLE") -> DataFrame:
 def job_failure_spike(t: Telemetry, as_of=None, threshold: int = 5) -> DataFrame:
     """L3: more than ``threshold`` FAILED period rows started in the last hour."""
     return (t.job_run_timeline
-            .filter((col("result_state") == "FAILED") & since_interval("period_start_time", AsOf.of(as_of), hours=1))
+            .filter((col("result_state") == RUN_FAILED) & since_interval("period_start_time", AsOf.of(as_of), hours=1))
             .agg(F.count("*").alias("failures_last_hour"))
             .filter(col("failures_last_hour") > threshold))
 

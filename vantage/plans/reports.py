@@ -10,6 +10,11 @@ from vantage.sources.telemetry import Telemetry
 
 col = F.col
 
+# Fixed values of the monthly report.
+PERMISSION_LIKE = "%Permission%"
+DESTRUCTIVE_LIKE = "delete%"
+IP_DENIED_ACTION = "IpAccessDenied"
+
 
 def week_over_week(t: Telemetry, as_of=None) -> DataFrame:
     """DBUs per product, days -14..-8 versus days -7..0, growth in percent.
@@ -36,7 +41,7 @@ def monthly_governance(t: Telemetry, as_of=None, months: int = 6) -> DataFrame:
     eid = col("event_id")
     return (t.audit.filter(col("event_date") >= a.months_ago(months))
             .groupBy(F.trunc("event_date", "MM").alias("month"))
-            .agg(F.countDistinct(F.when(action.like("%Permission%"), eid)).alias("permission_events"),
-                 F.countDistinct(F.when(action.like("delete%"), eid)).alias("destructive_events"),
+            .agg(F.countDistinct(F.when(action.like(PERMISSION_LIKE), eid)).alias("permission_events"),
+                 F.countDistinct(F.when(action.like(DESTRUCTIVE_LIKE), eid)).alias("destructive_events"),
                  F.countDistinct(col("user_identity.email")).alias("active_users"),
                  F.countDistinct(F.when(action == "IpAccessDenied", eid)).alias("ip_denials")))

@@ -16,6 +16,11 @@ col = F.col
 SERVICE_USER_PATTERN = "%System-User%"
 DESTRUCTIVE_LIKE = "delete%"
 DESTRUCTIVE_MIN_OPS = 10
+IP_ACCESS_DENIED, HIGH_DESTRUCTIVE_OPS, ADMIN_GROUP_CHANGE = "IP_ACCESS_DENIED", "HIGH_DESTRUCTIVE_OPS", "ADMIN_GROUP_CHANGE"
+BURST_DETAIL_SUFFIX = " delete operations in 1 hour"
+ADMIN_DETAIL_SEPARATOR = ": "
+NO_WORKLOAD = "N/A"
+FAILED = "FAILED"
 
 
 def hourly_cost(t: Telemetry, as_of=None, days: int = 7) -> DataFrame:
@@ -60,7 +65,7 @@ def latest_run_groups(t: Telemetry, as_of=None, days: int = 7) -> DataFrame:
 
 def failing_jobs(t: Telemetry, as_of=None) -> DataFrame:
     """V2: jobs whose newest (run, state) group in 7 days is FAILED."""
-    latest = latest_run_groups(t, as_of).filter((col("run_rank") == 1) & (col("result_state") == "FAILED"))
+    latest = latest_run_groups(t, as_of).filter((col("run_rank") == 1) & (col("result_state") == FAILED))
     return (latest.join(latest_jobs(t), ["workspace_id", "job_id"], "left")
             .select("workspace_id", "job_id", col("name").alias("job_name"),
                     col("creator_user_name").alias("owner"), "result_state", "run_start", "run_end",
@@ -73,7 +78,7 @@ def top_cost_drivers(t: Telemetry, as_of=None, limit: int = 50) -> DataFrame:
     Ties are broken on the group key so the cut is deterministic.
     """
     usage = t.priced_usage("left").filter(since_days("usage_date", AsOf.of(as_of), 30))
-    workload = F.coalesce(col("usage_metadata.job_name"), col("usage_metadata.notebook_path"), F.lit("N/A"))
+    workload = F.coalesce(col("usage_metadata.job_name"), col("usage_metadata.notebook_path"), F.lit(NO_WORKLOAD))
     grouped = (usage.groupBy(col("identity_metadata.run_as").alias("user_or_sp"),
                              col("billing_origin_product").alias("product"), "sku_name",
                              workload.alias("workload_name"))
@@ -96,7 +101,7 @@ def _recent_audit(t: Telemetry, as_of) -> DataFrame:
 def ip_denials(t: Telemetry, as_of=None) -> DataFrame:
     """One row per IP access denial in the last day."""
     return (_recent_audit(t, as_of).filter(col("action_name").isin(*IP_DENIAL_ACTIONS))
-            .select(F.lit("IP_ACCESS_DENIED").alias("anomaly_type"), "event_time", "workspace_id",
+            .select(F.lit(IP_ACCESS_DENIED).alias("anomaly_type"), "event_time", "workspace_id",
                     col("user_identity.email").alias("user_email"), "source_ip_address",
                     col("action_name").alias("detail")))
 
@@ -113,9 +118,9 @@ def destructive_bursts(t: Telemetry, as_of=None, min_ops: int = DESTRUCTIVE_MIN_
                           floor_time(audit, "event_time", "HOUR").alias("_hour"))
             .agg(F.max("event_time").alias("event_time"), F.count("*").alias("_n"))
             .filter(col("_n") > min_ops)
-            .select(F.lit("HIGH_DESTRUCTIVE_OPS").alias("anomaly_type"), "event_time", "workspace_id",
+            .select(F.lit(HIGH_DESTRUCTIVE_OPS).alias("anomaly_type"), "event_time", "workspace_id",
                     "user_email", F.lit("").alias("source_ip_address"),
-                    F.concat(col("_n").cast("string"), F.lit(" delete operations in 1 hour")).alias("detail")))
+                    F.concat(col("_n").cast("string"), F.lit(BURST_DETAIL_SUFFIX)).alias("detail")))
 
 
 def admin_group_changes(t: Telemetry, as_of=None) -> DataFrame:
@@ -123,9 +128,9 @@ def admin_group_changes(t: Telemetry, as_of=None) -> DataFrame:
     return (_recent_audit(t, as_of)
             .filter(col("action_name").isin(*GROUP_CHANGE_ACTIONS))
             .filter(col("request_params.targetGroupName") == ADMIN_GROUP)
-            .select(F.lit("ADMIN_GROUP_CHANGE").alias("anomaly_type"), "event_time", "workspace_id",
+            .select(F.lit(ADMIN_GROUP_CHANGE).alias("anomaly_type"), "event_time", "workspace_id",
                     col("user_identity.email").alias("user_email"), F.lit("").alias("source_ip_address"),
-                    F.concat(col("action_name"), F.lit(": "), col("request_params.targetUserName")).alias("detail")))
+                    F.concat(col("action_name"), F.lit(ADMIN_DETAIL_SEPARATOR), col("request_params.targetUserName")).alias("detail")))
 
 
 def security_anomalies(t: Telemetry, as_of=None, min_ops: int = DESTRUCTIVE_MIN_OPS) -> DataFrame:

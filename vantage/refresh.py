@@ -1,7 +1,7 @@
 """Scheduled jobs: refresh the summary tables, register the views, act on idle compute.
 
-    spark-submit vantage/refresh.py summaries --schema main.insights
-    spark-submit vantage/refresh.py cleanup --schema main.insights --log-table main.insights.termination_log
+    spark-submit vantage/refresh.py summaries --schema main.observability
+    spark-submit vantage/refresh.py cleanup --schema main.observability --log-table main.observability.termination_log
 
 Source table names default to the platform's system tables; override with
 ``--source usage=my_catalog.billing.usage`` (repeatable).

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from vantage.operators.pricing import price_usage
-from vantage.plans.views import DESTRUCTIVE_LIKE, DESTRUCTIVE_MIN_OPS, SERVICE_USER_PATTERN
+from vantage.plans.views import (BURST_DETAIL_SUFFIX, DESTRUCTIVE_LIKE, DESTRUCTIVE_MIN_OPS, HIGH_DESTRUCTIVE_OPS,
+                                 SERVICE_USER_PATTERN)
 
 col = F.col
 
@@ -63,9 +64,9 @@ def destructive_burst_stream(audit: DataFrame, min_ops: int = DESTRUCTIVE_MIN_OP
                             F.window("event_time", "1 hour").alias("w"))
             .agg(F.max("event_time").alias("event_time"), F.count("*").alias("_n"))
             .filter(col("_n") > min_ops)
-            .select(F.lit("HIGH_DESTRUCTIVE_OPS").alias("anomaly_type"), "event_time", "workspace_id", "user_email",
+            .select(F.lit(HIGH_DESTRUCTIVE_OPS).alias("anomaly_type"), "event_time", "workspace_id", "user_email",
                     F.lit("").alias("source_ip_address"),
-                    F.concat(col("_n").cast("string"), F.lit(" delete operations in 1 hour")).alias("detail")))
+                    F.concat(col("_n").cast("string"), F.lit(BURST_DETAIL_SUFFIX)).alias("detail")))
 
 
 def start_to_table(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True, query_name=None):
