@@ -47,10 +47,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (distributed) folder there; it is used as is.
-    Only when the setting is absent (local tests) a scratch folder is created.
+    Only in local mode, when the setting is absent (tests), is a scratch folder
+    created; on a cluster a missing setting is an error, never a machine-local
+    folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's object store)")
         configured = tempfile.mkdtemp(prefix="vantage-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
