@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vantage.functions.time import AsOf, calendar_seconds_between, floor_time, since_days, since_interval
 from vantage.operators.windows import rolling_mean, running_total
-from vantage.plans.summary import GROUP_CHANGE_ACTIONS, IP_DENIAL_ACTIONS, ADMIN_GROUP, latest_jobs
+from vantage.plans.summary import ADMIN_GROUP, GROUP_CHANGE_ACTIONS, IP_DENIAL_ACTIONS, latest_jobs
 from vantage.sources.telemetry import Telemetry
 
 col = F.col
@@ -56,8 +57,6 @@ def latest_run_groups(t: Telemetry, as_of=None, days: int = 7) -> DataFrame:
               .groupBy("workspace_id", "job_id", "run_id", "result_state")
               .agg(F.min("period_start_time").alias("run_start"),
                    F.max("period_end_time").alias("run_end")))
-    from pyspark.sql.window import Window
-
     w = Window.partitionBy("workspace_id", "job_id").orderBy(
         col("run_start").desc(), col("run_id").desc(), col("result_state").asc_nulls_first())
     return groups.withColumn("run_rank", F.row_number().over(w))
