@@ -18,7 +18,7 @@ NAMES = sorted(registry.REGISTRY)
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 9))
+        return "nan" if math.isnan(v) else repr(v)  # exact: results must be bit-equal
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
