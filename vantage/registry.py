@@ -57,6 +57,7 @@ _TELEMETRY: dict[tuple[int, str], Telemetry] = {}
 def telemetry(spark: SparkSession, sf_dir: str) -> Telemetry:
     """One ``Telemetry`` per (session, data directory): source frames and the
     price-list size probe are shared by all queries run on it."""
+    sf_dir = str(sf_dir)
     key = (id(spark), sf_dir.rstrip("/"))
     if key not in _TELEMETRY:
         _TELEMETRY[key] = Telemetry.from_testdata(spark, sf_dir)

@@ -70,7 +70,7 @@ class Telemetry:
         """Sources derived from the TPC-H-like test tables (see ``fixtures``)."""
         from vantage.sources import fixtures
 
-        return cls(spark, fixtures.loaders(spark, sf_dir), **kw)
+        return cls(spark, fixtures.loaders(spark, str(sf_dir)), **kw)
 
     # -- access -------------------------------------------------------------
     def table(self, name: str) -> DataFrame:
