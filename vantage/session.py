@@ -71,3 +71,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def cluster_conf(total_cores: int, input_bytes: int | None = None, max_partitions: int = 100_000) -> dict[str, str]:
+    """Starting configuration for a large cluster (pass to ``build_session(conf=...)``).
+
+    * scans split files at 256 MB, so every task reads a bounded slice;
+    * shuffles start wide (4 x cores, or one partition per GB of input, capped)
+      and AQE coalesces them to ~256 MB partitions, so reducers do not spill;
+    * AQE splits a skewed join partition (> 512 MB and 5 x the median).
+    """
+    mb = 1 << 20
+    wide = max(4 * total_cores, (input_bytes or 0) // (1 << 30))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.shuffle.partitions": str(min(wide, max_partitions)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mb),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * mb),
+    }
