@@ -64,3 +64,23 @@ def test_destructive_burst_stream_matches_batch(spark):
     assert w and w <= g
     assert batch.count() <= batch_all.count()
     assert os.path.isdir(f"{root}/ckpt")
+
+
+def test_out_of_order_arrival_emits_each_hour_once(spark):
+    """January arrives first, December afterwards (behind the watermark): every
+    hour is emitted exactly once and with the batch value."""
+    t = registry.telemetry(spark, SF)
+    root = tempfile.mkdtemp(prefix="vantage-stream-")
+    early = F.col("usage_date") < F.lit("2024-01-01").cast("date")
+    t.usage.filter(~early).coalesce(1).write.mode("overwrite").parquet(f"{root}/usage")
+    t.usage.filter(early).coalesce(1).write.mode("append").parquet(f"{root}/usage")
+    stream = S.read_stream(spark, f"{root}/usage", t.usage.schema, max_files_per_trigger=1)
+    q = S.start_to_table(S.hourly_cost_stream(stream, t.list_prices), f"{root}/hourly", f"{root}/ckpt")
+    q.awaitTermination(300)
+    got = [(r.hour.replace(tzinfo=None), r.cost_usd) for r in spark.read.parquet(f"{root}/hourly").collect()]
+    assert len(got) == len({h for h, _ in got})  # no hour emitted twice
+    priced = t.priced_usage("inner")
+    batch = {r.hour.replace(tzinfo=None): r.cost_usd for r in
+             priced.groupBy(floor_time(priced, "usage_start_time", "HOUR").alias("hour"))
+             .agg(F.sum("cost").alias("cost_usd")).collect()}
+    assert got and all(batch[h] == v for h, v in got)

@@ -1,9 +1,10 @@
 """Incremental versions of the hourly cost roll-up (V1) and delete bursts.
 
 Both group by a one-hour tumbling event-time window with a watermark, so the
-state holds only the open hours: once the watermark passes an hour, its final
-row is emitted (append mode) and its state dropped. Rows later than the
-watermark are not counted (documented limit of the incremental form).
+state holds only the open hours: once the watermark passes an hour, its row is
+emitted once (append mode) and its state dropped. Spark guarantees that rows
+within the watermark delay are counted; rows arriving later than that may be
+dropped (documented limit of the incremental form).
 """
 
 from __future__ import annotations
