@@ -74,3 +74,19 @@ def test_failed_refresh_keeps_previous_table(spark, schema):
     assert spark.table(table).count() == 3
     store.write_table(spark.range(4), table, "third")
     assert spark.table(table).count() == 4
+
+
+def test_catalog_sources_and_command_line(spark, schema):
+    """Production path: sources read from catalog tables, summaries refreshed by the CLI."""
+    from vantage import refresh, registry
+    from vantage.sources.schemas import SOURCES
+
+    fixture = registry.telemetry(spark, "/root/testdata/sf0.001")
+    store.create_schema(spark, "vantage_src")
+    args = ["summaries", "--schema", "vantage_cli", "--as-of", AS_OF]
+    for name in SOURCES:
+        fixture.table(name).write.mode("overwrite").saveAsTable(f"vantage_src.{name}")
+        args += ["--source", f"{name}=vantage_src.{name}"]
+    assert refresh.main(args) == 0
+    assert spark.table("vantage_cli.gold_cost_daily").count() == 5263
+    assert spark.table("vantage_cli.gold_pipeline_health").count() == 25
