@@ -109,3 +109,12 @@ def test_parquet_sources_round_trip(spark):
     for t in (stored, reread):
         assert sorted(summary.cost_daily(t, a).collect()) == sorted(summary.cost_daily(fixture, a).collect())
         assert sorted(views.query_performance(t, a).collect()) == sorted(views.query_performance(fixture, a).collect())
+
+
+def test_deployment_listing(spark, schema):
+    """The schema's tables (catalog metadata)."""
+    from vantage.plans.checks import deployment_listing
+
+    store.write_table(spark.range(1), f"{schema}.listed_table")
+    names = {r.tableName for r in deployment_listing(spark, schema).collect()}
+    assert "listed_table" in names

@@ -6,11 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def pct(part: Column, whole: Column, scale: int = 2) -> Column:
-    """``round(part / whole * 100, scale)``; null (not an error) when whole is 0."""
-    return F.round(F.try_divide(part.cast("double"), whole.cast("double")) * F.lit(100.0), scale)
-
-
 def exact_mean(col: Column) -> Column:
     """Mean as ``double(sum) / count``.
 

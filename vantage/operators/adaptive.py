@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +21,3 @@ def column_or(df: DataFrame, name: str, fallback: Column, alias: str | None = No
     else:
         out = fallback
     return out.alias(alias or name)
-
-
-def select_adaptive(df: DataFrame, required: Sequence[str],
-                    optional: Sequence[tuple[str, Column, str, bool]]) -> DataFrame:
-    """Select ``required`` columns and, for each ``(name, fallback, alias, coalesce)``,
-    the column with a fallback."""
-    cols = [F.col(c) for c in required]
-    cols += [column_or(df, n, fb, alias, co) for n, fb, alias, co in optional]
-    return df.select(*cols)
