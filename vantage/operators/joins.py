@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Bounded work: each task stops after ``max_rows + 1`` rows, so probing a
-    huge table costs no more than probing a small one.
+    Bounded work: ``offset(max_rows).isEmpty()`` runs as an incremental take
+    (``CollectLimit``) over column-less rows. Partitions are scanned in growing
+    batches only until row ``max_rows + 1`` is seen, so probing a huge table
+    costs no more than probing a small one.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.select().offset(max_rows).isEmpty()
 
 
 def maybe_broadcast(df: DataFrame, allowed: bool) -> DataFrame:
