@@ -106,3 +106,38 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
     return os.fspath(public_tokenizers.path(name))
+
+
+_WORD_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
+                    for b in range(256))
+
+
+def plain_words(text: bytes | None) -> list[bytes]:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of UTF-8 text with A-Z lower-cased; none of a null."""
+    return text.translate(_WORD_BYTES).split() if text else []
+
+
+def filesystem(path: str):
+    """(file system, path within it) of a URI or an absolute path: local, HDFS or an object store."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "file:///" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def publish(store, made: str, place: str) -> None:
+    """Give a finished file its name. A repeated task finds its own earlier file there and replaces it."""
+    try:
+        store.move(made, place)
+    except OSError:
+        store.delete_file(place)
+        store.move(made, place)
+
+
+def task_name() -> tuple[int, str]:
+    """This task's partition and a suffix that no other attempt has."""
+    from pyspark import TaskContext
+
+    task = TaskContext.get()
+    return task.partitionId(), f"{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"

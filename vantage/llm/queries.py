@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vantage.llm import shard_tree, simhash
+from vantage.llm import bpe, decontamination, langid, licenses, mtree, shard_tree, simhash, token_files, warc_zip
 from vantage.llm.common import table
 
 
@@ -19,9 +19,40 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), found["component"].alias("component_id"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
+def op4_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.search_table(table(spark, sf_dir, "embeddings"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.count_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
+def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_simhash_near_dedup)}
+    return {f.__name__: f for f in (
+        op1_sharding, op2_simhash_near_dedup, op3_language_id, op4_top_k_search, op5_token_counts, op7_license_scan,
+        op8_warc_zip, op9_decontamination, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_top_k_search": mtree.ORACLE_SQL, "op8_warc_zip": warc_zip.ORACLE_SQL,
+            "op9_decontamination": decontamination.ORACLE_SQL}
