@@ -46,15 +46,15 @@ class Settings:
     background: int = 40
     stems: tuple[int, ...] = (4, 5, 6)
     negatives: int = 3000
-    contrast: float = 5.0
-    excess: float = 4.5
+    contrast: float = 25.0
+    excess: float = 6.0
     seed: int = 11
     toxic: int = 1000
     clean: int = 2000
     longest_text: int = 20_000
     longest: int = 24
     rounds: int = 4
-    margin: float = 10.0
+    margin: float = 2000.0
 
 
 def units(word: str, longest: int = 24) -> list[str]:
@@ -189,29 +189,64 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * decisions + self.shift, -50, 50)))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, margin: float, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Squared-hinge linear SVM by Newton steps on the violated margins; both classes weigh the same."""
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * margin * len(y)
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, margin: float, steps: int = 60) -> tuple[np.ndarray, float]:
+    """Squared-hinge linear SVM by Newton steps with step halving; both classes weigh the same in all."""
+    c = margin * weight / np.where(y > 0, weight[y > 0].sum(), weight[y < 0].sum())
     a = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(a.shape[1])
     hold = np.eye(a.shape[1])
     hold[-1, -1] = 1e-6
+
+    def loss(w: np.ndarray) -> float:
+        return float(0.5 * w @ hold @ w + 0.5 * (c * np.maximum(1 - y * (a @ w), 0) ** 2).sum())
+
+    w, now = np.zeros(a.shape[1]), float(0.5 * c.sum())
     for _ in range(steps):
         bad = y * (a @ w) < 1
-        sub, c = a[bad], weight[bad]
-        new = np.linalg.solve(hold + (sub * c[:, None]).T @ sub, (sub * c[:, None]).T @ y[bad])
-        if np.allclose(new, w, atol=1e-9):
+        sub = a[bad] * c[bad, None]
+        step = np.linalg.solve(hold + sub.T @ a[bad], sub.T @ y[bad]) - w
+        size = 1.0
+        while size > 1e-4 and loss(w + size * step) > now:
+            size /= 2
+        new = loss(w + size * step)
+        if new > now - 1e-9 * now:
             break
-        w = 0.5 * w + 0.5 * new if _ > 20 else new
+        w, now = w + size * step, new
     return w[:-1], float(w[-1])
 
 
+def _apart(texts: list[str], width: int = 4, hashes: int = 8, alike: int = 4) -> list[int]:
+    """The documents that aren't near copies of earlier ones, by equal least hashes of their word shingles."""
+    from zlib import crc32
+
+    mixed = [np.uint64(0x9E3779B1 * (2 * i + 1) & 0xFFFFFFFF) for i in range(hashes)]
+    seen: list[set[int]] = [set() for _ in mixed]
+    out = []
+    for i, text in enumerate(texts):
+        line = text.lower().split()
+        own = np.array([crc32(" ".join(line[j:j + width]).encode()) for j in range(max(1, len(line) - width + 1))], np.uint64)
+        least = [int(((own ^ m) * m & np.uint64(0xFFFFFFFF)).min()) for m in mixed]
+        if sum(x in s for x, s in zip(least, seen)) < alike:
+            out.append(i)
+        for x, s in zip(least, seen):
+            s.add(x)
+    return out
+
+
 def fit(rows: list[tuple[str, int]], s: Settings) -> Model | None:
     """From (text, toxic) rows; None without both classes."""
     toxic = np.array([bool(t) for _, t in rows], bool)
     if toxic.all() or not toxic.any():
         return None
-    bags = [{u for w in words(t) for u in units(w, s.longest) if len(u) >= s.order} for t, _ in rows]
+    kept = _apart([t for t, _ in rows])  # copies would vouch for each other's rare words
+    rows, toxic = [rows[i] for i in kept], toxic[kept]
+    if toxic.all() or not toxic.any():
+        return None
+    spelled: dict[str, list[str]] = {}
+    bags = []
+    for t, _ in rows:
+        new = words(t)
+        spelled |= {w: [u for u in units(w, s.longest) if len(u) >= s.order] for w in new if w not in spelled}
+        bags.append({u for w in new for u in spelled[w]})
     strings = sorted(set().union(*bags))
     number = {u: i for i, u in enumerate(strings)}
     held = [np.array(sorted(number[u] for u in bag), np.int64) for bag in bags]
@@ -239,7 +274,8 @@ def fit(rows: list[tuple[str, int]], s: Settings) -> Model | None:
         bad = np.unique(np.concatenate([some, hard]))
         if not len(good) or not len(bad):
             return None
-        w, b = _svm(phi[np.concatenate([good, bad])], np.repeat([1.0, -1.0], [len(good), len(bad)]), s.margin)
+        w, b = _svm(phi[np.concatenate([good, bad])], np.repeat([1.0, -1.0], [len(good), len(bad)]),
+                    np.concatenate([seen[1, good], np.ones(len(bad))]), s.margin)
         belief = phi @ w + b
     model = Model(s, marks, whiten @ w, b)
     top = np.array([belief[h].max() if len(h) else b for h in held])
