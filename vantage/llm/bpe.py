@@ -9,9 +9,9 @@ gives. It starts with one arc per base symbol from every state, and each merge u
 
 ``compile`` records each token's gadget. An arc's existence follows the gadgets back to base symbols, newest first, and
 is filed in the transition table when first asked for, since of 49,000 x 49,000 arcs texts use few. A pre-split word is
-encoded by running its symbols through the table: a trie walks the arcs that spell it, and at each place one state at
-most is reached, because a prefix of a merged sequence is the merged sequence of its own string. Decoding emits the
-arcs' labels.
+encoded by running its symbols through the table: a trie names the arcs that spell what comes next, and at each place one
+state at most can be reached, because a prefix of a merged sequence is the merged sequence of its own string. Decoding
+emits the arcs' labels.
 """
 
 from __future__ import annotations
@@ -31,8 +31,10 @@ from vantage.llm.common import batch_udf, col, tokenizer_path
 # Fixed values of the file format's word-end vocabulary.
 WORD_END = "</w>"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Pieces kept at a time, twice: what was used since the last turn, and before.
+#: Runs of text kept at a time, twice: what was used since the last turn, and before.
 CACHE = 150_000
+#: Arcs filed at a time; they are found anew after that.
+TABLE = 400_000
 
 
 def byte_symbols() -> list[str]:
@@ -53,7 +55,8 @@ class Automaton:
     merges: dict[tuple[int, int], int]
     special: dict[str, int]
     trie: dict = field(default_factory=dict)
-    table: dict[tuple[int, int], bool] = field(default_factory=dict)
+    table: dict[int, bool] = field(default_factory=dict)
+    pieces: dict[str, list[int]] = field(default_factory=dict)
     young: dict[str, bytes] = field(default_factory=dict)
     old: dict[str, bytes] = field(default_factory=dict)
 
@@ -90,9 +93,11 @@ class Automaton:
 
     def arc(self, a: int, b: int) -> bool:
         """Whether the arc b leaves state a."""
-        known = self.table.get((a, b))
+        known = self.table.get(a << 32 | b)
         if known is None:
-            known = self.table[a, b] = self._follow(a, b)
+            if len(self.table) >= TABLE:
+                self.table.clear()
+            known = self.table[a << 32 | b] = self._follow(a, b)
         return known
 
     def _follow(self, a: int, b: int) -> bool:
@@ -110,28 +115,41 @@ class Automaton:
                 b, until = self.left[b], newest + 1
 
     def run(self, word: list[str]) -> list[int]:
-        """The arcs that spell a pre-split word's symbols."""
+        """The arcs that spell a pre-split word's symbols: the longest token first, back where that leads nowhere."""
         n = len(word)
-        state: list[int] = [-1] * (n + 1)  # the token that ends here
-        come: list[int] = [-1] * (n + 1)
-        for i in range(n):
-            if i and come[i] < 0:
-                continue
-            node = self.trie
-            for j in range(i, n):
-                node = node.get(word[j])
-                if node is None:
+        trie = self.trie
+        path: list[int] = []  # tokens taken
+        ways: list[list[tuple[int, int]]] = []  # per token taken, and for the next one: what is left to try
+        dead: set[int] = set()  # places from where no way leads to the end; the state at a place is always the same
+        at = 0
+        starts = [0]
+        while at < n:
+            if len(ways) == len(path):
+                node, found = trie, []
+                for j in range(at, n):
+                    node = node.get(word[j])
+                    if node is None:
+                        break
+                    if "" in node:
+                        found.append((j + 1, node[""]))
+                ways.append(found)
+            options = ways[-1]
+            while options:
+                end, token = options.pop()
+                if end not in dead and (not path or self.arc(path[-1], token)):
+                    path.append(token)
+                    starts.append(end)
+                    at = end
                     break
-                token = node.get("")
-                if token is not None and come[j + 1] < 0 and (i == 0 or self.arc(state[i], token)):
-                    state[j + 1], come[j + 1] = token, i
-        if n and come[n] < 0:
-            raise ValueError(f"no path spells {''.join(word)!r}")
-        out = []
-        while n:
-            out.append(state[n])
-            n = come[n]
-        return out[::-1]
+            else:
+                if not path:
+                    raise ValueError(f"no path spells {''.join(word)!r}")
+                dead.add(at)
+                ways.pop()
+                path.pop()
+                starts.pop()
+                at = starts[-1]
+        return path
 
     def chunk(self, text: str) -> bytes:
         """int32 ids of a run of text without white space."""
@@ -141,16 +159,21 @@ class Automaton:
             if got is None:
                 ids: list[int] = []
                 for piece in _PIECES.findall(lowered(unicodedata.normalize("NFC", text))):
-                    spelled = [_SYMBOLS[b] for b in piece.encode()]
-                    spelled[-1] += WORD_END
-                    ids += self.run(spelled)
+                    path = self.pieces.get(piece)
+                    if path is None:
+                        spelled = [_SYMBOLS[b] for b in piece.encode()]
+                        spelled[-1] += WORD_END
+                        path = self.run(spelled)
+                        if len(self.pieces) >= CACHE // 2:
+                            self.pieces.clear()
+                        if len(piece) <= 64:
+                            self.pieces[piece] = path
+                    ids += path
                 got = np.array(ids, np.int32).tobytes()
             if len(self.young) >= CACHE:
                 self.old, self.young = self.young, {}
             if len(text) <= 64:
                 self.young[text] = got
-            if len(self.table) > 40 * CACHE:
-                self.table.clear()
         return got
 
     def encode(self, text: str | None) -> bytes:
@@ -176,8 +199,7 @@ class Automaton:
         return b"".join(out)
 
     def decode(self, ids: np.ndarray) -> str:
-        """Arc labels joined by a space, as the file names no decoder."""
-        return " ".join([self.labels[i] for i in ids.tolist()])
+        return spell(ids, self.labels)
 
 
 _PIECES = regex.compile(PIECES.replace(r"\s", r"\p{White_Space}"))
@@ -186,6 +208,11 @@ _SEPARATORS = regex.compile("[\x1c-\x1f]")  # str.split() takes them for white s
 _SYMBOLS = byte_symbols()
 
 
+def spell(ids: np.ndarray, labels: list[str]) -> str:
+    """Arc labels joined by a space, as the file names no decoder."""
+    return " ".join([labels[i] for i in ids.tolist()])
+
+
 def lowered(text: str) -> str:
     """Each character's lower case by itself (a final sigma is no exception)."""
     return text.replace("Σ", "σ").lower()
@@ -245,10 +272,13 @@ def decode(docs: DataFrame, path: str | None = None, ids: str = "ids", out: str
     spec = _broadcast(docs, path)
 
     def make():
-        bpe = _automaton(spec)
+        vocabulary, _, special, _ = spec.value
+        labels = [""] * (max(i for _, i in [*vocabulary, *special]) + 1)
+        for label, i in [*vocabulary, *special]:
+            labels[i] = label
 
         def work(batch: pa.Array) -> pa.Array:
-            return pa.array([None if x is None else bpe.decode(x.values.to_numpy(zero_copy_only=False))
+            return pa.array([None if x is None else spell(x.values.to_numpy(zero_copy_only=False), labels)
                              for x in batch], pa.string())
 
         return work
