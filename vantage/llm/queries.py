@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vantage.llm import bpe, decontamination, langid, licenses, mtree, shard_tree, simhash, token_files, warc_zip
+from vantage.llm import bpe, decontamination, langid, licenses, mtree, shard_tree, simhash, token_files, toxicity, warc_zip
 from vantage.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.count_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table(spark, sf_dir, "documents"))
 
@@ -49,8 +53,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_sharding, op2_simhash_near_dedup, op3_language_id, op4_top_k_search, op5_token_counts, op7_license_scan,
-        op8_warc_zip, op9_decontamination, op10_bpe)}
+        op1_sharding, op2_simhash_near_dedup, op3_language_id, op4_top_k_search, op5_token_counts, op6_toxicity,
+        op7_license_scan, op8_warc_zip, op9_decontamination, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
