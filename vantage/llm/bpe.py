@@ -75,8 +75,12 @@ class Automaton:
                 raise ValueError(f"{u!r} + {v!r} uses a token that no earlier merge makes")
             left[w], right[w], step[w], pairs[a, b] = a, b, k, k
         made = cls(labels, left, right, step, pairs, special)
+        lost = set()  # tokens whose gadget finds no arc v after an arc u: nothing is ever merged to them
+        for (a, b), k in pairs.items():
+            if a in lost or b in lost or not made._follow(a, b, k):
+                lost.add(vocab["".join(merges[k])])
         for text, i in vocab.items():
-            if step[i] >= 0 or len(text.removesuffix(WORD_END)) == 1:
+            if (step[i] >= 0 and i not in lost) or (step[i] < 0 and len(text.removesuffix(WORD_END)) == 1):
                 node = made.trie
                 for symbol in symbols(text):
                     node = node.setdefault(symbol, {})
@@ -97,11 +101,11 @@ class Automaton:
         if known is None:
             if len(self.table) >= TABLE:
                 self.table.clear()
-            known = self.table[a << 32 | b] = self._follow(a, b)
+            known = self.table[a << 32 | b] = self._follow(a, b, len(self.merges))
         return known
 
-    def _follow(self, a: int, b: int) -> bool:
-        until = len(self.merges)
+    def _follow(self, a: int, b: int, until: int) -> bool:
+        """Whether the arc exists when the first ``until`` gadgets are in place."""
         while True:
             if self.merges.get((a, b), until) < until:
                 return False  # a gadget took this arc away
@@ -278,7 +282,7 @@ def decode(docs: DataFrame, path: str | None = None, ids: str = "ids", out: str
             labels[i] = label
 
         def work(batch: pa.Array) -> pa.Array:
-            return pa.array([None if x is None else spell(x.values.to_numpy(zero_copy_only=False), labels)
+            return pa.array([None if not x.is_valid else spell(x.values.to_numpy(zero_copy_only=False), labels)
                              for x in batch], pa.string())
 
         return work
