@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,3 +117,19 @@ def test_empty_inputs_every_query_runs(spark):
         rows = q.plan(t, A).collect()
         assert len(rows) <= 1, name  # global aggregates give one row; everything else none
     assert F is not None
+
+
+@pytest.mark.parametrize("lost", ["cluster_name", "owned_by", "cluster_source", "change_time", "all"])
+@pytest.mark.parametrize("build", [summary.compute_inventory, summary.compute_inventory_stateful])
+def test_any_optional_column_may_be_missing(spark, lost, build):
+    optional = {"cluster_name", "owned_by", "cluster_source", "change_time"}
+    t = telemetry(spark, clusters=[dict(cluster_id="c-1"), dict(cluster_id="c-1"), dict(cluster_id="c-2")])
+    t._frames["clusters"] = t.clusters.drop(*(optional if lost == "all" else {lost}))
+    rows = build(t, AsOf(AS_OF)).collect()
+    assert sorted(r.cluster_id for r in rows) == ["c-1", "c-2"]
+
+
+def test_as_of_with_an_offset_is_refused():
+    with pytest.raises(ValueError, match="wall-clock"):
+        AsOf("2024-01-31T00:00:00+05:00").sql_ts()
+    assert AsOf("2024-01-31T00:00:00").sql_date() == "DATE '2024-01-31'"

@@ -65,7 +65,7 @@ def test_posture_is_one_scan_one_aggregate(spark):
     assert "Join" not in plan
 
 
-def test_posture_forms_agree_on_non_null_workspaces(spark):
+def test_posture_agrees_with_plain_counts(spark):
     rows = []
     actions = ["updatePermissions", "IpAccessDenied", "deleteJob", "addPrincipalToGroup", "getTable"]
     for i in range(40):
@@ -73,8 +73,27 @@ def test_posture_forms_agree_on_non_null_workspaces(spark):
                          service_name="unityCatalog" if i % 2 == 0 else "workspace",
                          user_identity=(f"u{i % 3}@x.com",),
                          request_params={"targetGroupName": "admins" if i % 3 == 0 else "users"}))
-    t = telemetry(spark, audit=rows)
-    one = sorted(tuple(r) for r in summary.governance_posture(t, A).collect())
-    joined = summary.governance_posture_by_joins(t, A)
-    two = sorted(tuple(r) for r in joined.select(*summary.governance_posture(t, A).columns).collect())
-    assert one == two and len(one) == 4
+    got = {r.workspace_id: tuple(r)[1:] for r in summary.governance_posture(telemetry(spark, audit=rows), A).collect()}
+    want = {}
+    for w in "0123":
+        own = [r for r in rows if r["workspace_id"] == w]
+        destructive = [r for r in own if r["action_name"].startswith("delete")]
+        want[w] = (sum(r["action_name"] == "updatePermissions" and r["service_name"] == "unityCatalog" for r in own),
+                   sum(r["action_name"] == "IpAccessDenied" for r in own), len(destructive),
+                   len({r["user_identity"][0] for r in destructive}),
+                   sum(r["action_name"] == "addPrincipalToGroup" and r["request_params"]["targetGroupName"] == "admins"
+                       for r in own))
+    assert got == want
+
+
+def test_posture_trend_fills_quiet_days(spark):
+    from tests.conftest import d
+
+    rows = [dict(workspace_id="a", action_name="deleteJob", event_date=d("2024-01-31")),
+            dict(workspace_id="a", action_name="IpAccessDenied", event_date=d("2024-01-29")),
+            dict(workspace_id="b", action_name="deleteJob", event_date=d("2024-01-30")),
+            dict(workspace_id="b", action_name="deleteTable", event_date=d("2024-01-30")),
+            dict(workspace_id="c", action_name="getTable", event_date=d("2024-01-31")),
+            dict(workspace_id=None, action_name="deleteJob", event_date=d("2024-01-31"))]
+    got = sorted(tuple(r) for r in summary.posture_trend(telemetry(spark, audit=rows), A).collect())
+    assert got == [("a", 0, 1, 0, 0, 1, 0), ("b", 0, 0, 0, 2, 0, 0)]

@@ -21,8 +21,8 @@ SETTINGS = settings(max_examples=14, deadline=None, suppress_health_check=list(H
 
 
 @SETTINGS
-@given(prices=price_rows, usage=usage_rows, how=st.sampled_from(["left", "inner"]), broadcast=st.booleans())
-def test_price_join_matches_brute_force(spark, prices, usage, how, broadcast):
+@given(prices=price_rows, usage=usage_rows, how=st.sampled_from(["left", "inner"]))
+def test_price_join_matches_brute_force(spark, prices, usage, how):
     p = [dict(sku_name=s, price_start_time=T0 + dt.timedelta(hours=h),
               price_end_time=None if n is None else T0 + dt.timedelta(hours=h + n), pricing=((Decimal(v),),))
          for s, h, n, v in prices]
@@ -33,7 +33,7 @@ def test_price_join_matches_brute_force(spark, prices, usage, how, broadcast):
         u.append(dict(sku_name="A", usage_end_time=None, usage_quantity=Decimal(1), workspace_id="n2"))
     t = telemetry(spark, usage=u, list_prices=p)
     got = Counter((r.workspace_id, r.list_price) for r in
-                  price_usage(t.usage, t.list_prices, how=how, broadcast_prices=broadcast).collect())
+                  price_usage(t.usage, t.list_prices, how=how).collect())
     want = Counter()
     for row in u:
         hits = [x["pricing"][0][0] for x in p
@@ -73,3 +73,38 @@ def test_delete_bursts_match_brute_force(spark, rows, min_ops):
                    for (w, e, _), ts in groups.items() if len(ts) > min_ops)
     assert got == want
     assert frame is not None
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-50, 400))), max_size=60),
+       p=st.sampled_from([0.0, 0.5, 0.95, 1.0]), width=st.sampled_from([1, 7, 1000]))
+def test_exact_percentile_matches_the_function(spark, rows, p, width):
+    from pyspark.sql import functions as F
+
+    from vantage.operators.percentiles import exact_percentile
+
+    df = spark.createDataFrame(rows, "k string, v long")
+    got = {r.k: r.x for r in exact_percentile(df, ["k"], "v", p, width, "x").collect()}
+    want = {r.k: r.x for r in df.groupBy("k").agg(F.percentile("v", p).alias("x")).collect() if r.x is not None}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+
+
+states = st.sampled_from([None, "SUCCESS", "FAILED", "CANCELED", "TIMEDOUT", "RUNNING"])
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(1, 3), st.one_of(st.none(), st.integers(0, 4)), states), min_size=1, max_size=25))
+def test_run_state_is_that_of_the_latest_finished_period(spark, rows):
+    from vantage.plans import summary
+
+    start = dt.datetime(2024, 1, 20)
+    t = telemetry(spark, job_run_timeline=[
+        dict(run_id=run, result_state=state, period_start_time=start,
+             period_end_time=None if end is None else start + dt.timedelta(hours=end)) for run, end, state in rows])
+    got = {r.run_id: (r.succeeded, r.failed) for r in summary.run_summaries(t, AsOf(AS_OF)).collect()}
+    want = {}
+    for run in {r for r, _, _ in rows}:
+        done = [(-1 if end is None else end, state) for r, end, state in rows if r == run and state is not None]
+        last = max(done)[1] if done else None
+        want[run] = (last == "SUCCESS", last == "FAILED")
+    assert got == want

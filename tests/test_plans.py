@@ -32,18 +32,63 @@ def test_partial_aggregation_before_first_shuffle(t, build):
     assert "partial_" in plan
 
 
-def test_price_join_broadcast_only_when_bounded(spark):
-    from tests.conftest import frame
-    from vantage.sources.telemetry import Telemetry
-
-    frames = {"usage": frame(spark, "usage", [dict(usage_quantity=money(1))]),
-              "list_prices": frame(spark, "list_prices", [dict(pricing=((money(1),),))])}
-    small = Telemetry.from_frames(spark, frames)
-    assert "BroadcastHashJoin" in _plan(small.priced_usage("left"))
-    big = Telemetry.from_frames(spark, frames, price_broadcast_max_rows=0)
-    plan = _plan(big.priced_usage("left"))
-    # fallback: distinct (sku, end time) keys are priced, usage joins them on the pair
-    assert re.search(r"HashAggregate\(keys=\[k_sku#\d+, k_end#\d+\]", plan)
+def _jobs(spark) -> int:
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_planning_runs_no_job(spark, t):
+    from vantage import registry
+
+    registry._load()
+    before = _jobs(spark)
+    for name, q in registry.REGISTRY.items():
+        if not name.startswith(("n2", "s10")):  # s10 stores a table by its nature
+            q.plan(t, A)
+    assert _jobs(spark) == before
+
+
+def test_price_join_is_one_join_for_every_size(spark):
+    """A price list beyond the broadcast threshold: the same join, shuffled on (SKU, slot), over one scan of usage."""
+    import tempfile
+
+    from vantage.operators.pricing import price_usage
+
+    root = tempfile.mkdtemp(prefix="vantage-prices-")
+    prices = spark.range(60_000).selectExpr(
+        "concat('SKU_', id % 20000) AS sku_name",
+        "timestamp_seconds(1700000000 + (id div 20000) * 100) AS price_start_time",
+        "timestamp_seconds(1700000100 + (id div 20000) * 100) AS price_end_time",
+        "named_struct('effective_list', named_struct('default', CAST(id AS DECIMAL(18,2)))) AS pricing")
+    usage = spark.range(40_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'SKU_7' ELSE concat('SKU_', id % 25000) END AS sku_name",
+        "timestamp_seconds(1700000000 + id % 300) AS usage_end_time", "CAST(1 AS DECIMAL(18,2)) AS usage_quantity")
+    prices.write.parquet(f"{root}/prices")
+    usage.write.parquet(f"{root}/usage")
+    priced = price_usage(spark.read.parquet(f"{root}/usage"), spark.read.parquet(f"{root}/prices"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in ("10MB", "1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            plan = _plan(priced.select("*"))
+            assert plan.count("sku_name") and plan.count("FileScan") == 2
+            assert ("SortMergeJoin" in plan) == (threshold == "1")
+        assert priced.select("*").count() == 40_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_run_state_and_percentiles_by_hash_aggregates(t):
+    raw = _plan(summary.run_summaries(t, A))
+    assert "SortAggregate" not in raw and "SortAggregate" not in _plan(summary.job_health(t, A))
+    for build in (views.query_performance, summary.run_duration_percentiles):
+        assert "percentile(" not in _plan(build(t, A))
+
+
+def test_two_scans_of_the_audit_day(spark):
+    from vantage import registry
+
+    fixture = registry.telemetry(spark, "/root/testdata/sf0.001")
+    assert _plan(views.security_anomalies(fixture, A)).count("FileScan") == 2
 
 
 def test_no_cross_join_anywhere(t):

@@ -14,7 +14,7 @@ PRICES = [
 
 def _priced(spark, usage_rows, how="left", prices=PRICES):
     t = telemetry(spark, usage=usage_rows, list_prices=prices)
-    return price_usage(t.usage, t.list_prices, how=how, broadcast_prices=t.prices_broadcastable())
+    return price_usage(t.usage, t.list_prices, how=how)
 
 
 def test_boundary_start_in_end_out(spark):
@@ -65,15 +65,17 @@ def test_cost_daily_keeps_unpriced_with_null_cost(spark):
     assert got["SKU_1"].estimated_cost_usd == money(4)
 
 
-def test_broadcast_only_after_bounded_probe(spark):
-    from tests.conftest import frame
-    from vantage.sources.telemetry import Telemetry
+def test_money_type_keeps_small_costs(spark):
+    """38-digit decimals: the product keeps six fraction digits; the documented cast keeps what is lost."""
+    usage = spark.range(1).selectExpr("'S' AS sku_name", "timestamp'2024-01-01 00:00:00' AS usage_end_time",
+                                      "CAST(0.000123456 AS DECIMAL(38,18)) AS usage_quantity")
+    prices = spark.range(1).selectExpr(
+        "'S' AS sku_name", "timestamp'2023-01-01 00:00:00' AS price_start_time", "CAST(NULL AS TIMESTAMP) AS price_end_time",
+        "named_struct('effective_list', named_struct('default', CAST(0.0007 AS DECIMAL(38,18)))) AS pricing")
+    assert float(price_usage(usage, prices).first().cost) == 0.0
+    assert abs(float(price_usage(usage, prices, money="decimal(18,9)").first().cost) - 0.000123456 * 0.0007) < 1e-15
 
-    prices = frame(spark, "list_prices", PRICES)
-    small = Telemetry.from_frames(spark, {"list_prices": prices, "usage": frame(spark, "usage", [])})
-    assert small.prices_broadcastable()
-    big = Telemetry.from_frames(spark, {"list_prices": prices, "usage": frame(spark, "usage", [])},
-                                price_broadcast_max_rows=1)
-    assert not big.prices_broadcastable()
-    plan = big.priced_usage("left")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" not in plan or "AdaptiveSparkPlan" in plan
+
+def test_usage_columns_come_back_as_they_were(spark):
+    t = telemetry(spark, usage=[dict(usage_quantity=money(1))], list_prices=PRICES)
+    assert price_usage(t.usage, t.list_prices).columns == [*t.usage.columns, "list_price", "cost"]

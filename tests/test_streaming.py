@@ -1,86 +1,54 @@
-"""Streaming forms agree with the batch queries on the closed windows."""
+"""The streamed tables equal the batch queries, whatever the order of arrival."""
 
-import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from vantage import registry
-from vantage.functions.time import floor_time
+from vantage.functions.time import AsOf
+from vantage.plans import views
+from vantage.sources.telemetry import Telemetry
 from vantage.streaming import telemetry_streams as S
 
 SF = "/root/testdata/sf0.001"
 
 
-def _write(df, path):
-    df.repartition(4).write.mode("overwrite").parquet(path)
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
 
 
-def test_hourly_cost_stream_matches_batch(spark):
+@pytest.mark.parametrize("late", [False, True])
+def test_hourly_cost_equals_batch(spark, late):
+    """Three arrivals, in order or with the oldest rows last."""
     t = registry.telemetry(spark, SF)
     root = tempfile.mkdtemp(prefix="vantage-stream-")
-    # two time-ordered arrivals: December first, then January (two micro-batches)
-    early = F.col("usage_date") < F.lit("2024-01-01").cast("date")
-    t.usage.filter(early).coalesce(1).write.mode("overwrite").parquet(f"{root}/usage")
-    t.usage.filter(~early).coalesce(1).write.mode("append").parquet(f"{root}/usage")
-    usage_stream = S.read_stream(spark, f"{root}/usage", t.usage.schema, max_files_per_trigger=1)
-    q = S.start_to_table(S.hourly_cost_stream(usage_stream, t.list_prices), f"{root}/hourly", f"{root}/ckpt")
-    q.awaitTermination(300)
-    streamed = spark.read.parquet(f"{root}/hourly")
-    priced = t.priced_usage("inner")
-    batch = priced.groupBy(floor_time(priced, "usage_start_time", "HOUR").alias("hour")).agg(F.sum("cost").alias("cost_usd"))
-    watermark = spark.createDataFrame([(1,)], "x int").select(
-        (F.lit(t.usage.agg(F.max("usage_start_time")).first()[0]) - F.expr("INTERVAL 2 HOURS")).alias("wm")).first().wm
-    closed = batch.filter(F.col("hour") + F.expr("INTERVAL 1 HOUR") <= F.lit(watermark))
-    got = {(r.hour.replace(tzinfo=None), r.cost_usd) for r in streamed.collect()}
-    want = {(r.hour.replace(tzinfo=None), r.cost_usd) for r in closed.collect()}
-    assert want and want == got
-    burn = S.burn_rate_from_hourly(streamed).collect()
-    assert len(burn) == len(got)
-
-
-def test_destructive_burst_stream_matches_batch(spark):
-    from vantage.functions.time import AsOf
-    from vantage.plans import views
-
-    t = registry.telemetry(spark, SF)
-    root = tempfile.mkdtemp(prefix="vantage-stream-")
-    audit = t.audit
-    _write(audit, f"{root}/audit")
-    stream = S.read_stream(spark, f"{root}/audit", audit.schema)
-    q = S.start_to_table(S.destructive_burst_stream(stream, min_ops=0), f"{root}/bursts", f"{root}/ckpt")
-    q.awaitTermination(300)
-    got = spark.read.parquet(f"{root}/bursts")
-    # batch rule over the whole history (as_of far in the future covers every day)
-    batch = views.destructive_bursts(t, AsOf("2024-02-01 00:00:00"), min_ops=0)
-    batch_all = views.destructive_bursts(
-        type(t).from_frames(spark, {"audit": audit.withColumn("event_date", F.lit("2024-01-31").cast("date"))}),
-        AsOf("2024-02-01 00:00:00"), min_ops=0)
-    max_t = audit.agg(F.max("event_time")).first()[0]
-    closed = batch_all.filter(F.col("event_time") < F.lit(max_t) - F.expr("INTERVAL 2 HOURS"))
-    key = lambda r: (r.workspace_id, r.user_email, r.detail, r.event_time.replace(tzinfo=None))
-    g = {key(r) for r in got.collect()}
-    w = {key(r) for r in closed.collect()}
-    assert w and w <= g
-    assert batch.count() <= batch_all.count()
-    assert os.path.isdir(f"{root}/ckpt")
-
-
-def test_out_of_order_arrival_emits_each_hour_once(spark):
-    """January arrives first, December afterwards (behind the watermark): every
-    hour is emitted exactly once and with the batch value."""
+    parts = [t.usage.filter(F.pmod(F.hash("usage_start_time"), F.lit(2)) == 0).filter("usage_date < '2024-01-01'"),
+             t.usage.filter("usage_date >= '2024-01-01'"),
+             t.usage.filter(F.pmod(F.hash("usage_start_time"), F.lit(2)) == 1).filter("usage_date < '2024-01-01'")]
+    source = lambda: spark.read.schema(t.usage.schema).parquet(f"{root}/usage")
+    for part in parts[::-1] if late else parts:
+        part.coalesce(1).write.mode("append").parquet(f"{root}/usage")
+        stream = S.read_stream(spark, f"{root}/usage", t.usage.schema, max_files_per_trigger=1)
+        S.keep_current(stream, source, "usage_start_time", lambda rows: S.hourly_cost(rows, t.list_prices),
+                       f"{root}/hourly", f"{root}/ckpt").awaitTermination(300)
+        stored = spark.read.parquet(f"{root}/hourly").select("day", "hour", "cost_usd")
+        assert _rows(stored) == _rows(S.hourly_cost(source(), t.list_prices))
+    first, last = "2024-01-24", "2024-01-31"
+    burn = S.burn_rate_from_hourly(stored, F.lit(first).cast("date"), F.lit(last).cast("date"))
+    assert _rows(burn.select("hour", "cost_usd")) == _rows(views.hourly_cost(t, AsOf("2024-01-31")).filter(
+        F.to_date("hour").between(first, last)))
+
+
+def test_delete_bursts_equal_batch(spark):
     t = registry.telemetry(spark, SF)
     root = tempfile.mkdtemp(prefix="vantage-stream-")
-    early = F.col("usage_date") < F.lit("2024-01-01").cast("date")
-    t.usage.filter(~early).coalesce(1).write.mode("overwrite").parquet(f"{root}/usage")
-    t.usage.filter(early).coalesce(1).write.mode("append").parquet(f"{root}/usage")
-    stream = S.read_stream(spark, f"{root}/usage", t.usage.schema, max_files_per_trigger=1)
-    q = S.start_to_table(S.hourly_cost_stream(stream, t.list_prices), f"{root}/hourly", f"{root}/ckpt")
-    q.awaitTermination(300)
-    got = [(r.hour.replace(tzinfo=None), r.cost_usd) for r in spark.read.parquet(f"{root}/hourly").collect()]
-    assert len(got) == len({h for h, _ in got})  # no hour emitted twice
-    priced = t.priced_usage("inner")
-    batch = {r.hour.replace(tzinfo=None): r.cost_usd for r in
-             priced.groupBy(floor_time(priced, "usage_start_time", "HOUR").alias("hour"))
-             .agg(F.sum("cost").alias("cost_usd")).collect()}
-    assert got and all(batch[h] == v for h, v in got)
+    t.audit.repartition(3).write.parquet(f"{root}/audit")
+    source = lambda: spark.read.schema(t.audit.schema).parquet(f"{root}/audit")
+    stream = S.read_stream(spark, f"{root}/audit", t.audit.schema, max_files_per_trigger=1)
+    S.keep_current(stream, source, "event_time", S.hourly_deletes, f"{root}/deletes", f"{root}/ckpt").awaitTermination(300)
+    stored = spark.read.parquet(f"{root}/deletes")
+    everything = Telemetry.from_frames(spark, {"audit": t.audit.withColumn("event_date", F.lit("2024-01-31").cast("date"))})
+    batch = views.destructive_bursts(everything, AsOf("2024-02-01"), min_ops=0)
+    got = stored.select("workspace_id", "user_email", "event_time", F.concat("n", F.lit(" delete operations in 1 hour")).alias("detail"))
+    assert _rows(got) == _rows(batch.select("workspace_id", "user_email", "event_time", "detail")) and batch.count() > 0

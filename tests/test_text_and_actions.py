@@ -1,4 +1,4 @@
-"""Fenced-code extraction (N2), context JSON (N1) and termination log chunks (M1)."""
+"""Fenced-code extraction (N2), context JSON (N1) and termination log rows (M1)."""
 
 import json
 
@@ -41,11 +41,28 @@ def test_context_json_one_document_per_day_and_workspace(spark):
     assert doc[0]["estimated_cost_usd"] is None and doc[0]["total_dbus"] == 2.0
 
 
-def test_termination_log_chunks(spark):
-    clusters = [dict(cluster_id=f"c-{i}", cluster_name=f"n{i:02d}") for i in range(5)]
+def test_fence_runs_to_the_end_of_the_text(spark):
+    """An unclosed fence ends with the text, not before its last line break."""
+    df = spark.createDataFrame([("```sql\nSELECT 1\n\nFROM t\n",), ("``````",)], "text string")
+    assert [r.x for r in df.select(fenced_block(F.col("text")).alias("x")).collect()] == ["SELECT 1\n\nFROM t", ""]
+
+
+def test_fixture_texts_have_fences_at_every_size(spark):
+    from vantage import registry
+
+    t = registry.telemetry(spark, "/root/testdata/sf0.001")
+    rows = context.assistant_sql(t).collect()
+    found = [r.extracted_sql for r in rows if r.extracted_sql is not None]
+    assert 0.5 * len(rows) < len(found) < len(rows) and "" in found and any(x.startswith("SELECT") for x in found)
+
+
+def test_one_log_row_per_cluster_acted_on(spark):
+    """One workspace holds nearly all clusters: still a row each, none gathered."""
+    clusters = [dict(cluster_id=f"c-{i}", cluster_name=f"n{i:03d}", workspace_id="1" if i else "2") for i in range(200)]
     t = telemetry(spark, clusters=clusters)
-    rows = actions.termination_log_rows(t, AsOf(AS_OF), max_names=2).collect()
-    names = sorted(n for r in rows for n in r.cluster_names)
-    assert names == [f"n{i:02d}" for i in range(5)]
-    assert max(len(r.cluster_names) for r in rows) == 2 and len(rows) == 3
-    assert actions.idle_cluster_actions(t, AsOf(AS_OF)).count() == 5
+    todo = actions.idle_cluster_actions(t, AsOf(AS_OF))
+    rows = actions.termination_log_rows(todo.filter("cluster_id <> 'c-5'"), AsOf(AS_OF), "run-1")
+    got = rows.collect()
+    assert len(got) == 199 and all(len(r.cluster_names) == 1 and r.run_id == "run-1" for r in got)
+    assert "c-5" not in {r.cluster_id for r in got}
+    assert "Window" not in rows._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]

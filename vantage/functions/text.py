@@ -18,7 +18,7 @@ def fenced_block(text: Column) -> Column:
     The block runs to the next fence or to the end of the text (unclosed
     fence); surrounding whitespace is removed. Null when there is no fence.
     """
-    sql_block = F.regexp_extract(text, r"(?s)```sql(.*?)(?:```|$)", 1)
-    any_block = F.regexp_extract(text, r"(?s)```(.*?)(?:```|$)", 1)
+    sql_block = F.regexp_extract(text, r"(?s)```sql(.*?)(?:```|\z)", 1)
+    any_block = F.regexp_extract(text, r"(?s)```(.*?)(?:```|\z)", 1)
     return (F.when(text.contains(FENCE + "sql"), _strip(sql_block))
             .when(text.contains(FENCE), _strip(any_block)))

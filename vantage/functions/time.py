@@ -38,6 +38,8 @@ class AsOf:
             v = _dt.datetime.fromisoformat(v)
         if not isinstance(v, _dt.datetime):
             v = _dt.datetime(v.year, v.month, v.day)
+        if v.tzinfo is not None:
+            raise ValueError(f"as_of is a wall-clock instant of the session's zone; convert {v.isoformat()} first")
         return v.strftime("%Y-%m-%d %H:%M:%S.%f")
 
     def sql_ts(self) -> str:

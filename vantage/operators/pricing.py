@@ -7,13 +7,13 @@ A usage row ending exactly at a version's start is in that version; one ending
 exactly at its end is in the next. Overlapping versions multiply a usage row
 (``price_overlaps`` reports them).
 
-Physical plan: the equality on ``sku_name`` drives a hash join and the
-interval is a residual condition. The price list is broadcast when a bounded
-probe shows it is small (it is a dimension: SKUs x versions). Otherwise usage
-is never shuffled on ``sku_name`` (a few hundred values: one task per SKU at
-scale). Instead the distinct ``(sku_name, usage_end_time)`` keys are priced
-first, which is small (billing is hourly), and usage joins the priced keys on
-that high-cardinality pair.
+Physical plan, the same for every size: an equi-join on (``sku_name``, slot)
+with the interval as residual condition. A slot is a hash of the usage end time
+over ``SLOTS`` values, and every price row exists once per slot. So a SKU that
+holds a third of all usage is spread over ``SLOTS`` keys if the join shuffles
+(AQE's skew split divides them further), and Spark broadcasts the price list by
+its own byte estimate if that allows. Usage is scanned once and nothing runs
+while the plan is built.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vantage.operators.joins import maybe_broadcast
-
 PRICE_COLUMN = "pricing.effective_list.default"
+#: Parts that the usage of one SKU is dealt into; also how often a price row is repeated.
+SLOTS = 16
 
 
 def flat_prices(prices: DataFrame) -> DataFrame:
@@ -33,53 +33,28 @@ def flat_prices(prices: DataFrame) -> DataFrame:
                          F.col(PRICE_COLUMN).alias("list_price"))
 
 
-def price_usage(usage: DataFrame, prices: DataFrame, how: str = "left",
-                broadcast_prices: bool = False) -> DataFrame:
+def price_usage(usage: DataFrame, prices: DataFrame, how: str = "left", money: str | None = None) -> DataFrame:
     """Usage columns plus ``list_price`` and ``cost = usage_quantity * list_price``.
 
     ``how="left"`` keeps unpriced usage (price and cost null); ``"inner"`` drops it.
+    ``money`` is a decimal type that quantity and price are cast to first, e.g.
+    ``decimal(18,9)``: the product of two 38-digit decimals keeps six fraction
+    digits only, so a small cost would become 0. By default the stored types stay.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    if not broadcast_prices:
-        return _price_by_keys(usage, prices, how)
-    u = usage.alias("u")
-    p = maybe_broadcast(flat_prices(prices), broadcast_prices).alias("p")
-    return u.join(p, _valid_at(F.col("u.sku_name"), F.col("u.usage_end_time")), how).select(
-        "u.*",
-        F.col("p.list_price"),
-        (F.col("u.usage_quantity") * F.col("p.list_price")).alias("cost"),
-    )
-
-
-def _valid_at(sku, end_time):
-    return ((sku == F.col("p.sku_name"))
-            & (end_time >= F.col("p.price_start_time"))
-            & (F.col("p.price_end_time").isNull() | (end_time < F.col("p.price_end_time"))))
-
-
-def _price_by_keys(usage: DataFrame, prices: DataFrame, how: str) -> DataFrame:
-    """Shuffle-join form for a price list too large to broadcast.
-
-    1. distinct (sku_name, usage_end_time) keys of usage (partial aggregation
-       before the shuffle);
-    2. price the keys (left join: unpriced keys keep a null price; overlapping
-       versions give several rows, as in the direct join);
-    3. usage joins the priced keys on the pair with null-safe equality, so the
-       large shuffle is keyed on SKU x time and a row with a null SKU or time
-       still meets its (null-priced) key. Same rows as the direct join.
-    """
-    keys = usage.select(F.col("sku_name").alias("k_sku"), F.col("usage_end_time").alias("k_end")).distinct()
-    p = flat_prices(prices).alias("p")
-    priced_keys = keys.join(p, _valid_at(F.col("k_sku"), F.col("k_end")), how).select(
-        "k_sku", "k_end", "list_price")
-    u = usage.alias("u")
-    on = (F.col("u.sku_name").eqNullSafe(F.col("k_sku"))) & (F.col("u.usage_end_time").eqNullSafe(F.col("k_end")))
-    return u.join(priced_keys, on, "inner").select(
-        "u.*",
-        F.col("list_price"),
-        (F.col("u.usage_quantity") * F.col("list_price")).alias("cost"),
-    )
+    slot = F.pmod(F.hash("usage_end_time"), F.lit(SLOTS))
+    u = usage.withColumn("_price_slot", slot).alias("u")
+    p = flat_prices(prices).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1)))).alias("p")
+    end_time = F.col("u.usage_end_time")
+    valid = ((F.col("u.sku_name") == F.col("p.sku_name")) & (F.col("u._price_slot") == F.col("p.slot"))
+             & (end_time >= F.col("p.price_start_time"))
+             & (F.col("p.price_end_time").isNull() | (end_time < F.col("p.price_end_time"))))
+    quantity, price = F.col("u.usage_quantity"), F.col("p.list_price")
+    if money:
+        quantity, price = quantity.cast(money), price.cast(money)
+    return u.join(p, valid, how).select(*(F.col(f"u.`{c}`") for c in usage.columns), price.alias("list_price"),
+                                        (quantity * price).alias("cost"))
 
 
 def price_overlaps(prices: DataFrame) -> DataFrame:

@@ -17,8 +17,13 @@ def latest_version(df: DataFrame, keys: Sequence[str], order_col: str = "change_
     keeps only the top row per key inside each input partition before the
     shuffle, so a key with very many versions never moves all of them.
     ``tiebreak`` orders rows with equal ``order_col`` (descending) so the result
-    is deterministic.
+    is deterministic. Order columns that the table lacks are left out.
     """
+    present = {c.lower() for c in df.columns}
+    tiebreak = [t for t in tiebreak if not isinstance(t, str) or t.lower() in present]
+    if order_col.lower() not in present:  # no history: any order of what is there
+        order_col, *rest = [t for t in tiebreak if isinstance(t, str)] or sorted(set(df.columns) - set(keys)) or list(keys)
+        tiebreak = rest
     if all(isinstance(t, str) for t in tiebreak):
         order = ", ".join(f"`{c}` DESC NULLS LAST" for c in [order_col, *tiebreak])
         part = ", ".join(f"`{k}`" for k in keys)

@@ -13,7 +13,7 @@ AS_OF_DATE = "DATE '2024-01-31'"
 
 # Flat derivation of the source tables from the raw test tables (FIXTURES.md §2).
 SOURCE_SQL = {
-    "usage": """select cast(l_suppkey%5 as string) workspace_id, concat('SKU_',cast(l_partkey%25 as string)) sku_name,
+    "usage": """select cast(l_suppkey%5 as string) workspace_id, concat('SKU_',cast(l_partkey//3 as string)) sku_name,
  case l_returnflag when 'A' then 'JOBS' when 'N' then 'SQL' else 'ALL_PURPOSE' end billing_origin_product,
  cast(TIMESTAMP '2023-12-03 00:00:00' + INTERVAL '1' DAY * cast((l_orderkey*7+l_linenumber)%60 as int) as date) usage_date,
  TIMESTAMP '2023-12-03 00:00:00' + INTERVAL '1' DAY * cast((l_orderkey*7+l_linenumber)%60 as int) + INTERVAL '1' HOUR * cast((l_partkey+l_linenumber)%24 as int) usage_start_time,
@@ -23,10 +23,10 @@ SOURCE_SQL = {
  case when l_returnflag='R' and l_suppkey%4<>0 then concat('c-',cast(l_suppkey as string)) end cluster_id,
  case when l_returnflag='A' then concat('job_',cast(l_suppkey%10 as string)) end job_name,
  case when l_returnflag='N' and l_linestatus='O' then concat('/nb/',cast(l_partkey%10 as string)) end notebook_path from lineitem""",
-    "list_prices": """select concat('SKU_',cast(p_partkey%25 as string)) sku_name,
- case when p_partkey<25 then TIMESTAMP '2023-01-01 00:00:00' when p_partkey<50 then TIMESTAMP '2023-12-20 00:00:00' else TIMESTAMP '2024-01-15 00:00:00' end price_start_time,
- case when p_partkey<25 then TIMESTAMP '2023-12-20 00:00:00' when p_partkey<50 then TIMESTAMP '2024-01-15 00:00:00' end price_end_time,
- cast(p_retailprice as decimal(18,2)) price from part where p_partkey<75 and p_partkey%25<>24""",
+    "list_prices": """select concat('SKU_',cast(p_partkey//3 as string)) sku_name,
+ case p_partkey%3 when 0 then TIMESTAMP '2023-01-01 00:00:00' when 1 then TIMESTAMP '2023-12-20 00:00:00' else TIMESTAMP '2024-01-15 00:00:00' end price_start_time,
+ case p_partkey%3 when 0 then TIMESTAMP '2023-12-20 00:00:00' when 1 then case when p_partkey//3%40=7 then TIMESTAMP '2024-01-20 00:00:00' else TIMESTAMP '2024-01-15 00:00:00' end end price_end_time,
+ cast(p_retailprice as decimal(18,2)) price from part where p_partkey//3%25<>24""",
     "audit": """select event_id, ts event_time, cast(ts as date) event_date, cast(user_id%5 as string) workspace_id,
  case when user_id%25=0 then concat('System-User-',cast(user_id as string)) else concat('user',cast(user_id as string),'@example.com') end email,
  case when event_type='click' then 'unityCatalog' else 'workspace' end service_name,
@@ -55,6 +55,12 @@ SOURCE_SQL = {
     "query_history": """select concat('user',cast(o_custkey%50 as string),'@example.com') executed_by, concat('wh-',cast(o_orderkey%4 as string)) warehouse_id, o_orderpriority statement_type,
  cast(floor(o_totalprice) as bigint) total_duration_ms, o_orderkey%1000 rows_produced, case o_orderstatus when 'F' then 'FAILED' else 'FINISHED' end execution_status,
  TIMESTAMP '2023-12-03 00:00:00' + INTERVAL '1' DAY * cast(o_orderkey%60 as int) + INTERVAL '1' HOUR * cast(o_custkey%24 as int) start_time from orders""",
+    "fenced_conversations": """select conv_id, turn, role, case (conv_id+turn)%6
+ when 0 then concat('See:', chr(10), '```sql', chr(10), '  SELECT ', conv_id, chr(10), text, chr(10), '```', chr(10), 'Done.')
+ when 1 then concat('See:', chr(10), '```', chr(10), '  SELECT ', conv_id, chr(10), text, '```')
+ when 2 then concat('See:', chr(10), '```sql', chr(10), '  SELECT ', conv_id, chr(10), text, chr(10))
+ when 3 then concat('```', chr(10), 'plain', chr(10), '```', chr(10), 'See:', chr(10), '```sql', chr(10), '  SELECT ', conv_id, chr(10), text, '```')
+ when 4 then concat(text, '``````') else text end as text from conversations""",
 }
 
 ORDER = list(SOURCE_SQL)

@@ -1,14 +1,14 @@
-"""M1: idle-compute action list and the termination-log rows.
+"""M1: idle-compute action list and the log of clusters really acted on.
 
-The remote clean-up call itself is outside Spark; the list and the log rows
-are DataFrames that a caller acts on and appends (``sinks.store``).
+The remote clean-up call itself is outside Spark. A run writes its list once
+(``refresh.plan_cleanup``), the caller acts on it and hands back what it acted
+on, and that is logged (``refresh.log_cleanup``), once per run and cluster.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from vantage.functions.time import AsOf
 from vantage.plans.gold import Gold
@@ -18,22 +18,13 @@ col = F.col
 
 
 def idle_cluster_actions(t: Telemetry, as_of=None, gold: Gold | None = None, status: str = "IDLE") -> DataFrame:
-    """Clusters to act on: id, name, owner."""
-    inv = (gold or Gold(t, as_of))["gold_compute_inventory"]
-    return inv.filter(col("health_status") == status).select("cluster_id", "cluster_name", "owner")
-
-
-def termination_log_rows(t: Telemetry, as_of=None, gold: Gold | None = None, status: str = "IDLE",
-                         max_names: int = 1000) -> DataFrame:
-    """Log rows ``(termination_time, cluster_names)`` for the acted-on clusters.
-
-    One row per workspace and chunk of at most ``max_names`` names (sorted), so
-    no array grows with the number of clusters.
-    """
-    a = AsOf.of(as_of)
-    inv = (gold or Gold(t, a))["gold_compute_inventory"].filter(col("health_status") == status)
-    w = Window.partitionBy("workspace_id").orderBy("cluster_name", "cluster_id")
-    chunked = inv.withColumn("_chunk", F.floor((F.row_number().over(w) - 1) / max_names))
-    return (chunked.groupBy("workspace_id", "_chunk")
-            .agg(F.array_sort(F.collect_list("cluster_name")).alias("cluster_names"))
-            .select(a.ts().alias("termination_time"), "cluster_names", "workspace_id"))
+    """Clusters to act on: workspace, id, name, owner. ``ZOMBIE`` asks the state-aware inventory."""
+    inv = (gold or Gold(t, as_of)).inventory(status)
+    return inv.filter(col("health_status") == status).select("workspace_id", "cluster_id", "cluster_name", "owner")
+
+
+def termination_log_rows(acted: DataFrame, as_of=None, run_id: str = "") -> DataFrame:
+    """One log row per cluster acted on, whatever the number of clusters of a workspace:
+    ``(termination_time, cluster_names, workspace_id, cluster_id, run_id)``."""
+    return acted.select(AsOf.of(as_of).ts().alias("termination_time"), F.array("cluster_name").alias("cluster_names"),
+                        "workspace_id", "cluster_id", F.lit(run_id).alias("run_id"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from vantage.functions.numeric import exact_mean
 from vantage.functions.time import AsOf, since_days, since_interval
-from vantage.plans.summary import RUN_FAILED, compute_inventory
+from vantage.plans.gold import Gold
+from vantage.plans.summary import RUN_FAILED
 from vantage.plans.views import DESTRUCTIVE_MIN_OPS, security_anomalies
 from vantage.sources.telemetry import Telemetry
 
@@ -41,8 +42,8 @@ def cost_spike(t: Telemetry, as_of=None, k: float = 2.0, days: int = 14) -> Data
 
 
 def idle_compute(t: Telemetry, as_of=None, flag: str = "IDLE") -> DataFrame:
-    """L2: inventory rows flagged idle (``ZOMBIE`` for the state-aware inventory)."""
-    return (compute_inventory(t, as_of).filter(col("health_status") == flag)
+    """L2: inventory rows flagged idle; ``ZOMBIE`` (running without usage) comes from the state-aware inventory."""
+    return (Gold(t, as_of).inventory(flag).filter(col("health_status") == flag)
             .select("cluster_id", "cluster_name", "owner", "dbus_last_7d"))
 
 

@@ -35,6 +35,13 @@ def job_records(t: Telemetry, as_of=None) -> DataFrame:
     return t.jobs.agg(F.count("*").alias("job_records"))
 
 
-def deployment_listing(spark: SparkSession, schema: str) -> DataFrame:
-    """Tables and views in a schema (catalog metadata, not data work)."""
-    return spark.sql(f"SHOW TABLES IN {schema}")
+def deployment_listing(spark: SparkSession, schema: str | None = None) -> DataFrame:
+    """(kind, schema, name) of the catalog's schemas, and of the tables and views of ``schema`` or of all schemas
+    (catalog metadata, not data work)."""
+    schemas = [r.namespace for r in spark.sql("SHOW SCHEMAS").collect()]
+    rows = [("schema", s, s) for s in schemas]
+    for s in [schema] if schema else schemas:
+        views = {r.viewName for r in spark.sql(f"SHOW VIEWS IN {s}").collect() if not r.isTemporary}
+        rows += [("view" if r.tableName in views else "table", s, r.tableName)
+                 for r in spark.sql(f"SHOW TABLES IN {s}").collect() if not r.isTemporary]
+    return spark.createDataFrame(rows, "kind string, schema string, name string")

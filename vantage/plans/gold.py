@@ -14,6 +14,7 @@ BUILDERS: dict[str, Callable[[Telemetry, AsOf], DataFrame]] = {
     "gold_cost_daily": summary.cost_daily,
     "gold_job_health": summary.job_health,
     "gold_compute_inventory": summary.compute_inventory,
+    "gold_compute_inventory_stateful": summary.compute_inventory_stateful,
     "gold_user_activity": summary.user_activity,
     "gold_governance_posture": summary.governance_posture,
     "gold_pipeline_health": summary.pipeline_health,
@@ -42,6 +43,11 @@ class Gold:
             return self.saved[name]
         return BUILDERS[name](self.t, self.as_of)
 
+    def inventory(self, status: str) -> DataFrame:
+        """The inventory whose health rule knows ``status``."""
+        stateful = status in (summary.ZOMBIE, summary.TERMINATED)
+        return self["gold_compute_inventory_stateful" if stateful else "gold_compute_inventory"]
+
     @classmethod
     def from_schema(cls, t: Telemetry, schema: str, as_of=None) -> "Gold":
         spark = t.spark

@@ -37,8 +37,8 @@ def month_to_date_cost(t: Telemetry, as_of=None, gold=None) -> DataFrame:
 
 
 def cluster_count(t: Telemetry, as_of=None, gold=None, status: str = "ACTIVE") -> DataFrame:
-    """D3 (ACTIVE) / D4 (IDLE): distinct clusters with a health status."""
-    inv = _gold(t, as_of, gold)["gold_compute_inventory"]
+    """D3 (ACTIVE) / D4 (IDLE or ZOMBIE): distinct clusters with a health status."""
+    inv = _gold(t, as_of, gold).inventory(status)
     return inv.filter(col("health_status") == status).agg(F.countDistinct("cluster_id").alias("cnt"))
 
 
@@ -61,8 +61,8 @@ def first_cost_drivers(t: Telemetry, as_of=None, gold=None, limit: int = 20) ->
 
 
 def idle_clusters(t: Telemetry, as_of=None, gold=None, status: str = "IDLE") -> DataFrame:
-    """The idle cluster list."""
-    return (_gold(t, as_of, gold)["gold_compute_inventory"].filter(col("health_status") == status)
+    """The idle (or ZOMBIE) cluster list."""
+    return (_gold(t, as_of, gold).inventory(status).filter(col("health_status") == status)
             .select("cluster_id", "cluster_name", "owner", "dbus_last_7d", "last_active_time"))
 
 

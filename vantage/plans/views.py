@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vantage.functions.time import AsOf, calendar_seconds_between, floor_time, since_days, since_interval
+from vantage.operators.percentiles import exact_percentile, join_null_safe
 from vantage.operators.windows import rolling_mean, running_total
 from vantage.plans.summary import ADMIN_GROUP, GROUP_CHANGE_ACTIONS, IP_DENIAL_ACTIONS, latest_jobs
 from vantage.sources.telemetry import Telemetry
@@ -22,6 +23,7 @@ BURST_DETAIL_SUFFIX = " delete operations in 1 hour"
 ADMIN_DETAIL_SEPARATOR = ": "
 NO_WORKLOAD = "N/A"
 FAILED = "FAILED"
+FINISHED = "FINISHED"
 
 
 def hourly_cost(t: Telemetry, as_of=None, days: int = 7) -> DataFrame:
@@ -97,12 +99,26 @@ def _recent_audit(t: Telemetry, as_of) -> DataFrame:
     return t.audit.filter(since_days("event_date", AsOf.of(as_of), 1))
 
 
+def event_anomalies(t: Telemetry, as_of=None) -> DataFrame:
+    """V4a and V4c in one scan: events that are anomalies by themselves, each with its rule's type and detail."""
+    action, params = col("action_name"), col("request_params")
+    denied = action.isin(*IP_DENIAL_ACTIONS)
+    regrouped = action.isin(*GROUP_CHANGE_ACTIONS) & (params.targetGroupName == ADMIN_GROUP)
+    return _recent_audit(t, as_of).filter(denied | regrouped).select(
+        F.when(denied, IP_ACCESS_DENIED).otherwise(ADMIN_GROUP_CHANGE).alias("anomaly_type"), "event_time",
+        "workspace_id", col("user_identity.email").alias("user_email"),
+        F.when(denied, col("source_ip_address")).otherwise("").alias("source_ip_address"),
+        F.when(denied, action).otherwise(F.concat(action, F.lit(ADMIN_DETAIL_SEPARATOR), params.targetUserName)).alias("detail"))
+
+
 def ip_denials(t: Telemetry, as_of=None) -> DataFrame:
     """One row per IP access denial in the last day."""
-    return (_recent_audit(t, as_of).filter(col("action_name").isin(*IP_DENIAL_ACTIONS))
-            .select(F.lit(IP_ACCESS_DENIED).alias("anomaly_type"), "event_time", "workspace_id",
-                    col("user_identity.email").alias("user_email"), "source_ip_address",
-                    col("action_name").alias("detail")))
+    return event_anomalies(t, as_of).filter(col("anomaly_type") == IP_ACCESS_DENIED)
+
+
+def admin_group_changes(t: Telemetry, as_of=None) -> DataFrame:
+    """Additions to / removals from the admins group."""
+    return event_anomalies(t, as_of).filter(col("anomaly_type") == ADMIN_GROUP_CHANGE)
 
 
 def destructive_bursts(t: Telemetry, as_of=None, min_ops: int = DESTRUCTIVE_MIN_OPS) -> DataFrame:
@@ -122,21 +138,9 @@ def destructive_bursts(t: Telemetry, as_of=None, min_ops: int = DESTRUCTIVE_MIN_
                     F.concat(col("_n").cast("string"), F.lit(BURST_DETAIL_SUFFIX)).alias("detail")))
 
 
-def admin_group_changes(t: Telemetry, as_of=None) -> DataFrame:
-    """Additions to / removals from the admins group."""
-    return (_recent_audit(t, as_of)
-            .filter(col("action_name").isin(*GROUP_CHANGE_ACTIONS))
-            .filter(col("request_params.targetGroupName") == ADMIN_GROUP)
-            .select(F.lit(ADMIN_GROUP_CHANGE).alias("anomaly_type"), "event_time", "workspace_id",
-                    col("user_identity.email").alias("user_email"), F.lit("").alias("source_ip_address"),
-                    F.concat(col("action_name"), F.lit(ADMIN_DETAIL_SEPARATOR), col("request_params.targetUserName")).alias("detail")))
-
-
 def security_anomalies(t: Telemetry, as_of=None, min_ops: int = DESTRUCTIVE_MIN_OPS) -> DataFrame:
-    """V4: union of the three rules (one schema)."""
-    return (ip_denials(t, as_of)
-            .unionByName(destructive_bursts(t, as_of, min_ops))
-            .unionByName(admin_group_changes(t, as_of)))
+    """V4: union of the three rules (one schema), two scans of the audit day."""
+    return event_anomalies(t, as_of).unionByName(destructive_bursts(t, as_of, min_ops))
 
 
 def anomaly_order() -> list:
@@ -153,14 +157,14 @@ def query_performance(t: Telemetry, as_of=None) -> DataFrame:
     sum) and p95 is the interpolated percentile of the milliseconds rounded to
     0.01 ms, so the figures do not depend on summation order.
     """
-    a = AsOf.of(as_of)
-    ms = col("total_duration_ms")
-    return (t.query_history
-            .filter(since_interval("start_time", a, days=7) & (col("execution_status") == "FINISHED"))
-            .groupBy(col("executed_by").alias("user_name"), col("compute.warehouse_id").alias("warehouse_id"),
-                     "statement_type")
-            .agg(F.count("*").alias("query_count"),
-                 (F.avg(ms) / 1000.0).alias("avg_duration_seconds"),
-                 (F.round(F.percentile(ms, 0.95), 2) / 1000.0).alias("p95_duration_seconds"),
-                 (F.max(ms) / 1000.0).alias("max_duration_seconds"),
-                 F.sum("rows_produced").alias("total_rows_produced")))
+    ms, key = col("total_duration_ms"), ["user_name", "warehouse_id", "statement_type"]
+    done = (t.query_history.filter(since_interval("start_time", AsOf.of(as_of), days=7) & (col("execution_status") == FINISHED))
+            .select(col("executed_by").alias("user_name"), col("compute.warehouse_id").alias("warehouse_id"),
+                    "statement_type", "total_duration_ms", "rows_produced"))
+    totals = done.groupBy(*key).agg(
+        F.count("*").alias("query_count"), (F.avg(ms) / 1000.0).alias("avg_duration_seconds"),
+        (F.max(ms) / 1000.0).alias("max_duration_seconds"), F.sum("rows_produced").alias("total_rows_produced"))
+    p95 = exact_percentile(done, key, "total_duration_ms", 0.95, 1000, "_p95")
+    return join_null_safe(totals, p95, key).select(
+        *key, "query_count", "avg_duration_seconds", (F.round("_p95", 2) / 1000.0).alias("p95_duration_seconds"),
+        "max_duration_seconds", "total_rows_produced")

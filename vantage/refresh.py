@@ -1,7 +1,10 @@
-"""Scheduled jobs: refresh the summary tables, register the views, act on idle compute.
+r"""Scheduled jobs: refresh the summary tables and views, list idle compute, log what was done.
 
     spark-submit vantage/refresh.py summaries --schema main.observability
-    spark-submit vantage/refresh.py cleanup --schema main.observability --log-table main.observability.termination_log
+    spark-submit vantage/refresh.py views --schema main.observability
+    spark-submit vantage/refresh.py cleanup --schema main.observability --status ZOMBIE
+    spark-submit vantage/refresh.py log --schema main.observability --acted main.observability.acted_on \
+        --log-table main.observability.termination_log --run-id 2024-01-31
 
 Source table names default to the platform's system tables; override with
 ``--source usage=my_catalog.billing.usage`` (repeatable).
@@ -24,30 +27,35 @@ SCHEMA_COMMENT = "Platform observability: curated summary tables for dashboards"
 
 
 def refresh(spark: SparkSession, t: Telemetry, schema: str, as_of=None) -> dict[str, str]:
-    """Create the schema if needed and fully refresh the six summary tables."""
+    """Create the schema if needed and fully refresh the summary tables."""
     store.create_schema(spark, schema, SCHEMA_COMMENT)
     return store.refresh_summaries(t, schema, AsOf.of(as_of))
 
 
-def cleanup(spark: SparkSession, t: Telemetry, schema: str, log_table: str, status: str = "IDLE",
-            as_of=None) -> DataFrame:
-    """The clusters to act on (from the saved inventory when present) and one
-    appended log batch. The remote termination call itself is the caller's."""
+def plan_cleanup(spark: SparkSession, t: Telemetry, schema: str, status: str = "IDLE", as_of=None) -> DataFrame:
+    """Write the run's list of clusters to act on to ``pending_cluster_actions`` and return the stored list. The remote
+    call is the caller's; whatever it acted on goes to ``log_cleanup``."""
     a = AsOf.of(as_of)
-    gold = Gold.from_schema(t, schema, a)
-    todo = actions.idle_cluster_actions(t, a, gold, status)
-    store.append_termination_log(actions.termination_log_rows(t, a, gold, status), log_table)
-    return todo
+    table = f"{schema}.pending_cluster_actions"
+    store.write_table(actions.idle_cluster_actions(t, a, Gold.from_schema(t, schema, a), status), table)
+    return spark.table(table)
+
+
+def log_cleanup(acted: DataFrame, log_table: str, run_id: str, as_of=None) -> None:
+    """Log the clusters acted on; a repeated call of the same run adds nothing."""
+    store.append_termination_log(actions.termination_log_rows(acted, as_of, run_id), log_table)
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="vantage.refresh")
-    p.add_argument("job", choices=["summaries", "views", "cleanup"])
+    p.add_argument("job", choices=["summaries", "views", "cleanup", "log"])
     p.add_argument("--schema", required=True)
     p.add_argument("--as-of", default=None)
     p.add_argument("--source", action="append", default=[], help="name=table override")
     p.add_argument("--log-table", default=None)
     p.add_argument("--status", default="IDLE")
+    p.add_argument("--acted", default=None, help="table of the clusters acted on")
+    p.add_argument("--run-id", default=None)
     args = p.parse_args(argv)
     from vantage.session import build_session
 
@@ -57,12 +65,16 @@ def main(argv: list[str] | None = None) -> int:
         for name, table in refresh(spark, t, args.schema, args.as_of).items():
             print(f"{name} -> {table}")
     elif args.job == "views":
-        print(", ".join(store.register_views(t, args.as_of)))
+        store.create_schema(spark, args.schema, SCHEMA_COMMENT)
+        for name, table in store.refresh_views(t, args.schema, args.as_of).items():
+            print(f"{name} -> {table}")
+    elif args.job == "cleanup":
+        store.create_schema(spark, args.schema, SCHEMA_COMMENT)
+        plan_cleanup(spark, t, args.schema, args.status, args.as_of)
     else:
-        if not args.log_table:
-            p.error("--log-table is required for cleanup")
-        todo = cleanup(spark, t, args.schema, args.log_table, args.status, args.as_of)
-        todo.write.mode("overwrite").saveAsTable(f"{args.schema}.pending_cluster_actions")
+        if not (args.log_table and args.acted and args.run_id):
+            p.error("log needs --acted, --log-table and --run-id")
+        log_cleanup(spark.table(args.acted), args.log_table, args.run_id, args.as_of)
     return 0
 
 

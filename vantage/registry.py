@@ -51,14 +51,14 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-_TELEMETRY: dict[tuple[int, str], Telemetry] = {}
+_TELEMETRY: dict[tuple[str, str], Telemetry] = {}
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> Telemetry:
-    """One ``Telemetry`` per (session, data directory): source frames and the
-    price-list size probe are shared by all queries run on it."""
+    """One ``Telemetry`` per (session, data directory), whose source frames all queries
+    run on it share. A session is known by its application and its own id."""
     sf_dir = str(sf_dir)
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (f"{spark.sparkContext.applicationId}/{spark._jsparkSession.sessionUUID()}", sf_dir.rstrip("/"))
     if key not in _TELEMETRY:
         _TELEMETRY[key] = Telemetry.from_testdata(spark, sf_dir)
     return _TELEMETRY[key]

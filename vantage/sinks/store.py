@@ -8,22 +8,25 @@ passes through the driver.
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vantage.functions.time import AsOf
 from vantage.plans.gold import BUILDERS
 from vantage.sources.telemetry import Telemetry
 
-# Comments of the summary tables.
+# What each refreshed table is for.
 TABLE_COMMENTS = {
-    "gold_cost_daily": "Daily cost summary by product, SKU, and workspace",
-    "gold_job_health": "Job run health metrics: success rates, durations, failures",
-    "gold_compute_inventory": "Active compute inventory with idle compute detection",
-    "gold_user_activity": "User activity summary for the last 30 days",
-    "gold_governance_posture": "Governance posture indicators",
-    "gold_pipeline_health": "Pipeline update health",
+    "gold_cost_daily": "List-price cost and DBUs a day, by workspace, product and SKU",
+    "gold_job_health": "How the runs of each job went in 30 days",
+    "gold_compute_inventory": "Clusters as last defined, flagged idle if a week passed without usage",
+    "gold_compute_inventory_stateful": "Clusters as last defined, flagged zombie if they run without usage",
+    "gold_user_activity": "Sign-ins and spending of each user in 30 days",
+    "gold_governance_posture": "Counts of sensitive audit events of the last day, by workspace",
+    "gold_pipeline_health": "How the updates of each pipeline ended in 7 days",
 }
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*){0,2}$")
@@ -43,30 +46,50 @@ def create_schema(spark: SparkSession, schema: str, comment: str | None = None)
     spark.sql(sql)
 
 
-def write_table(df: DataFrame, table: str, comment: str | None = None, partition_by: list[str] | None = None) -> None:
-    """K1: full refresh of a summary table, with a table comment.
+def write_table(df: DataFrame, table: str, comment: str | None = None, partition_by: list[str] | None = None) -> str:
+    """K1: full refresh of a summary table, with a comment; returns the version written.
 
-    The new contents are written completely to a staging table first and only
-    then swapped in, so a refresh that fails part-way (lost executors beyond
-    Spark's task retries, a killed job) leaves the previous table intact.
+    ``table`` is a view over the newest complete version. A refresh writes a new
+    version table and switches the view to it in one catalog change, the last
+    step, so readers see the old rows or the new ones at any time, and a refresh
+    that dies anywhere before leaves the old ones in place. The version before
+    stays for queries that still read it; older ones are dropped, with whatever
+    a dead refresh left. Rows are rebalanced by the partition columns first, so a
+    date is written by as many tasks as its size asks for, not by all of them.
     """
     spark = df.sparkSession
-    staging = _ident(table) + "__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    writer = df.write.mode("overwrite").format("parquet")
+    version = f"{_ident(table)}__v{time.time_ns()}"
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(staging)
-    if comment:
-        spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ('comment' = {_quote(comment)})")
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-    if partition_by:
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        df = df.hint("rebalance", *(F.col(c) for c in partition_by))
+    writer = df.write.format("parquet")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(version)
+    before = _current(spark, table)
+    tail = f" COMMENT {_quote(comment)}" if comment else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {table}{tail} TBLPROPERTIES ('version' = '{version}') AS SELECT * FROM {version}")
+    for old in versions(spark, table):
+        if old not in (version, before):
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return version
+
+
+def versions(spark: SparkSession, table: str) -> list[str]:
+    """The version tables of ``table``, oldest first (catalog metadata)."""
+    schema, _, name = _ident(table).rpartition(".")
+    listed = spark.sql(f"SHOW TABLES{' IN ' + schema if schema else ''} LIKE '{name}__v*'").collect()
+    return sorted((f"{schema}." if schema else "") + r.tableName for r in listed)
+
+
+def _current(spark: SparkSession, table: str) -> str | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    found = [r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if r.key == "version"]
+    if not found:
+        raise ValueError(f"{table} exists and was not written by write_table")
+    return found[0]
 
 
 def refresh_summaries(t: Telemetry, schema: str, as_of=None) -> dict[str, str]:
-    """K1 for the six summary tables; returns name -> table."""
+    """K1 for the summary tables; returns name -> table."""
     a = AsOf.of(as_of)
     out = {}
     for name, comment in TABLE_COMMENTS.items():
@@ -77,8 +100,19 @@ def refresh_summaries(t: Telemetry, schema: str, as_of=None) -> dict[str, str]:
     return out
 
 
+def refresh_views(t: Telemetry, schema: str, as_of=None) -> dict[str, str]:
+    """K2: the five views (``v_...``) stored in ``schema``, so that any session sees them; returns name -> table."""
+    a = AsOf.of(as_of)
+    out = {}
+    for name, build in BUILDERS.items():
+        if name.startswith("v_"):
+            out[name] = f"{schema}.{name}"
+            write_table(build(t, a), out[name])
+    return out
+
+
 def register_views(t: Telemetry, as_of=None, prefix: str = "") -> list[str]:
-    """K2: the five views as temporary views (``v_...``) of the session."""
+    """The five views as temporary views of this session, computed when read."""
     a = AsOf.of(as_of)
     names = []
     for name, build in BUILDERS.items():
@@ -89,18 +123,23 @@ def register_views(t: Telemetry, as_of=None, prefix: str = "") -> list[str]:
 
 
 def append_termination_log(rows: DataFrame, table: str) -> None:
-    """K3: create-if-absent and append ``(termination_time, cluster_names)`` rows."""
+    """K3: create-if-absent and append log rows; a row whose (run_id, workspace_id, cluster_id) is there already, from
+    an earlier try of the same run, isn't appended again."""
     spark = rows.sparkSession
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_ident(table)} "
-              "(termination_time TIMESTAMP, cluster_names ARRAY<STRING>) USING parquet")
-    rows.select(rows.termination_time.cast("timestamp").alias("termination_time"), "cluster_names") \
-        .write.mode("append").insertInto(table)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_ident(table)} (termination_time TIMESTAMP, cluster_names ARRAY<STRING>, "
+              "workspace_id STRING, cluster_id STRING, run_id STRING) USING parquet")
+    rows = rows.select(rows.termination_time.cast("timestamp").alias("termination_time"), "cluster_names", "workspace_id",
+                       "cluster_id", "run_id")
+    there = spark.table(table).select("run_id", "workspace_id", "cluster_id").alias("t")
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("run_id", "workspace_id", "cluster_id")]
+    new = rows.alias("n").join(there, same[0] & same[1] & same[2], "left_anti")
+    new.write.mode("append").insertInto(table)
 
 
-def run_query(spark: SparkSession, query: str, params: Mapping[str, object] | None = None) -> DataFrame:
+def run_query(spark: SparkSession, query: str, params: Mapping[str, object] | None = None, **frames: DataFrame) -> DataFrame:
     """A parameterised SQL query (``:name`` markers bound by Spark, never
-    spliced into the text); returns a lazy DataFrame."""
-    return spark.sql(query, args=dict(params or {}))
+    spliced into the text); returns a lazy DataFrame. ``{name}`` stands for a frame."""
+    return spark.sql(query, args=dict(params or {}), **frames)
 
 
 def _quote(text: str) -> str:

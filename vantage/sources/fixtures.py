@@ -41,7 +41,7 @@ def usage(raw: Callable[[str], DataFrame]) -> DataFrame:
     flag = c("l_returnflag")
     return raw("lineitem").select(
         _s(c("l_suppkey") % 5).alias("workspace_id"),
-        F.concat(F.lit("SKU_"), _s(c("l_partkey") % 25)).alias("sku_name"),
+        F.concat(F.lit("SKU_"), _s(F.floor(c("l_partkey") / 3).cast("long"))).alias("sku_name"),
         F.when(flag == "A", "JOBS").when(flag == "N", "SQL").otherwise("ALL_PURPOSE").alias("billing_origin_product"),
         F.to_date(_after(BASE, days=day)).alias("usage_date"),
         _after(BASE, days=day, hours=hour).alias("usage_start_time"),
@@ -62,13 +62,17 @@ def usage(raw: Callable[[str], DataFrame]) -> DataFrame:
 
 
 def list_prices(raw: Callable[[str], DataFrame]) -> DataFrame:
+    """Three consecutive versions per SKU, one per row of ``part``; every 25th SKU has no price, and of every 40th SKU
+    the second version ends five days late, into the third."""
     key = F.col("p_partkey")
-    return raw("part").filter((key < 75) & (key % 25 != 24)).select(
-        F.concat(F.lit("SKU_"), _s(key % 25)).alias("sku_name"),
-        F.when(key < 25, _ts("2023-01-01 00:00:00")).when(key < 50, _ts("2023-12-20 00:00:00"))
+    sku, version = F.floor(key / 3).cast("long"), key % 3
+    return raw("part").filter(sku % 25 != 24).select(
+        F.concat(F.lit("SKU_"), _s(sku)).alias("sku_name"),
+        F.when(version == 0, _ts("2023-01-01 00:00:00")).when(version == 1, _ts("2023-12-20 00:00:00"))
         .otherwise(_ts("2024-01-15 00:00:00")).alias("price_start_time"),
-        F.when(key < 25, _ts("2023-12-20 00:00:00")).when(key < 50, _ts("2024-01-15 00:00:00"))
-        .alias("price_end_time"),
+        F.when(version == 0, _ts("2023-12-20 00:00:00"))
+        .when((version == 1) & (sku % 40 == 7), _ts("2024-01-20 00:00:00"))
+        .when(version == 1, _ts("2024-01-15 00:00:00")).alias("price_end_time"),
         F.struct(F.struct(F.col("p_retailprice").cast("decimal(18,2)").alias("default")).alias("effective_list"))
         .alias("pricing"),
     )
@@ -200,6 +204,18 @@ def query_history(raw: Callable[[str], DataFrame]) -> DataFrame:
     )
 
 
+def conversations(raw: Callable[[str], DataFrame]) -> DataFrame:
+    """The conversations, with code fences put around parts of most texts: a closed and an unclosed ``sql`` fence, a
+    bare fence, a bare fence before a ``sql`` fence, an empty one, and none."""
+    c = F.col
+    kind, text = (c("conv_id") + c("turn")) % 6, c("text")
+    block = lambda fence, end: F.concat(F.lit(f"See:\n{fence}\n  SELECT "), _s(c("conv_id")), F.lit("\n"), text, F.lit(end))
+    return raw("conversations").select("conv_id", "turn", "role", F.when(kind == 0, block("```sql", "\n```\nDone."))
+                                       .when(kind == 1, block("```", "```")).when(kind == 2, block("```sql", "\n"))
+                                       .when(kind == 3, F.concat(F.lit("```\nplain\n```\n"), block("```sql", "```")))
+                                       .when(kind == 4, F.concat(text, F.lit("``````"))).otherwise(text).alias("text"))
+
+
 DERIVATIONS: dict[str, Callable[[Callable[[str], DataFrame]], DataFrame]] = {
     "usage": usage,
     "list_prices": list_prices,
@@ -242,5 +258,5 @@ def raw_reader(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
 def loaders(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
     raw = raw_reader(spark, sf_dir)
     out = {name: (lambda fn=fn: fn(raw)) for name, fn in DERIVATIONS.items()}
-    out["conversations"] = lambda: raw("conversations")
+    out["conversations"] = lambda: conversations(raw)
     return out

@@ -8,6 +8,7 @@ back uses each table's own schema (no inference job).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vantage.sources.telemetry import Telemetry
 
@@ -29,12 +30,13 @@ CLUSTER_COLUMNS = {
 
 def write_source(df: DataFrame, path: str, partition_col: str | None, files: int | None = None,
                  cluster_col: str | None = None) -> None:
-    """Write one source. Date-partitioned tables get one file per date
-    (rows clustered by the partition column first); other tables are spread
+    """Write one source. Rows of a date-partitioned table are rebalanced by the
+    date: small dates share a task, and AQE splits a date that is larger than the
+    advisory partition size over several tasks and files. Other tables are spread
     over ``files`` files (default: the cluster's parallelism), range-clustered
     and sorted by ``cluster_col`` when given, so a reader can split the scan."""
     if partition_col:
-        df.repartition(partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        df.hint("rebalance", F.col(partition_col)).write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return
     n = files or df.sparkSession.sparkContext.defaultParallelism
     if cluster_col:
@@ -56,4 +58,4 @@ def materialize(t: Telemetry, root: str, names: list[str] | None = None) -> Tele
         write_source(df, path, PARTITION_COLUMNS.get(name), cluster_col=CLUSTER_COLUMNS.get(name))
         schema = df.schema
         loaders[name] = (lambda p=path, s=schema: spark.read.schema(s).parquet(p))
-    return Telemetry(spark, loaders, price_broadcast_max_rows=t.price_broadcast_max_rows)
+    return Telemetry(spark, loaders, money=t.money)

@@ -24,22 +24,18 @@ PLATFORM_TABLES = {
 # Tables that are not telemetry sources but feed a query (N2 reads response texts).
 EXTRA_TABLES = ("conversations",)
 
-# A price list is a small dimension (SKUs x price versions). It is broadcast
-# only after a bounded probe confirms it has at most this many rows; beyond
-# that the price join runs as a shuffle join on sku_name (AQE splits hot SKUs).
-PRICE_BROADCAST_MAX_ROWS = 2_000_000
-
 
 class Telemetry:
     """Lazily loaded source DataFrames.
 
     ``loaders`` maps a source name to a zero-argument function returning its
     DataFrame; each is called at most once. Nothing is read until a query
-    is executed.
+    is executed. ``money`` is the decimal type that costs are computed in
+    (see ``operators.pricing``).
     """
 
     def __init__(self, spark: SparkSession, loaders: Mapping[str, Callable[[], DataFrame]],
-                 price_broadcast_max_rows: int = PRICE_BROADCAST_MAX_ROWS):
+                 money: str | None = None):
         unknown = set(loaders) - set(SOURCES) - set(EXTRA_TABLES)
         if unknown:
             raise ValueError(f"unknown sources: {sorted(unknown)}")
@@ -47,7 +43,7 @@ class Telemetry:
         self._loaders = dict(loaders)
         self._frames: dict[str, DataFrame] = {}
         self._derived: dict[object, object] = {}
-        self.price_broadcast_max_rows = price_broadcast_max_rows
+        self.money = money
 
     # -- construction -----------------------------------------------------
     @classmethod
@@ -94,21 +90,13 @@ class Telemetry:
     query_history = property(lambda self: self.table("query_history"))
 
     def memo(self, key: object, build: Callable[[], object]) -> object:
-        """Build a derived value once per Telemetry (shared frames, size probes)."""
+        """Build a derived value once per Telemetry (shared frames)."""
         if key not in self._derived:
             self._derived[key] = build()
         return self._derived[key]
 
-    def prices_broadcastable(self) -> bool:
-        """Bounded probe of the price list size (reads at most max+1 rows once)."""
-        from vantage.operators.joins import has_at_most
-
-        return bool(self.memo("prices_broadcastable",
-                              lambda: has_at_most(self.list_prices, self.price_broadcast_max_rows)))
-
     def priced_usage(self, how: str = "left") -> DataFrame:
         """Usage rows with the list price valid at ``usage_end_time`` (shared frame)."""
         from vantage.operators.pricing import price_usage
 
-        return self.memo(("priced_usage", how), lambda: price_usage(
-            self.usage, self.list_prices, how=how, broadcast_prices=self.prices_broadcastable()))
+        return self.memo(("priced_usage", how), lambda: price_usage(self.usage, self.list_prices, how, self.money))

@@ -1,21 +1,24 @@
-"""Incremental versions of the hourly cost roll-up (V1) and delete bursts.
+"""The hourly cost roll-up (V1) and delete bursts (V4b) kept up to date by Structured Streaming.
 
-Both group by a one-hour tumbling event-time window with a watermark, so the
-state holds only the open hours: once the watermark passes an hour, its row is
-emitted once (append mode) and its state dropped. Spark guarantees that rows
-within the watermark delay are counted; rows arriving later than that may be
-dropped (documented limit of the incremental form).
+A micro-batch only says which days it touched. Those days are computed anew from
+the whole source with the batch functions and replace their partitions of the
+result. So no row is ever too late, the result equals the batch query's after
+every batch, and there is no streaming state to bound. A day that is touched by
+many batches is recomputed by each; the trigger interval sets that cost.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampNTZType
+from pyspark.sql.types import StructType
 
+from vantage.functions.time import floor_time
 from vantage.operators.pricing import price_usage
-from vantage.plans.views import (BURST_DETAIL_SUFFIX, DESTRUCTIVE_LIKE, DESTRUCTIVE_MIN_OPS, HIGH_DESTRUCTIVE_OPS,
-                                 SERVICE_USER_PATTERN)
+from vantage.operators.windows import rolling_mean, running_total
+from vantage.plans.views import DESTRUCTIVE_LIKE, SERVICE_USER_PATTERN
 
 col = F.col
 
@@ -28,63 +31,45 @@ def read_stream(spark: SparkSession, path: str, schema: StructType, max_files_pe
     return reader.parquet(path)
 
 
-def _event_time(df: DataFrame, name: str, delay: str) -> DataFrame:
-    """Watermark on ``name``; a wall-clock (timestamp_ntz) column is first read
-    as a session-zone timestamp, which watermarks require."""
-    if isinstance(df.schema[name].dataType, TimestampNTZType):
-        df = df.withColumn(name, col(name).cast("timestamp"))
-    return df.withWatermark(name, delay)
+def hourly_cost(usage: DataFrame, prices: DataFrame) -> DataFrame:
+    """(day, hour, cost_usd): priced (inner) cost per usage-start hour."""
+    priced = price_usage(usage, prices, "inner")
+    hourly = priced.groupBy(floor_time(priced, "usage_start_time", "HOUR").alias("hour")).agg(F.sum("cost").alias("cost_usd"))
+    return hourly.select(F.to_date("hour").alias("day"), "hour", "cost_usd")
+
 
+def hourly_deletes(audit: DataFrame) -> DataFrame:
+    """(day, hour, workspace_id, user_email, n, event_time): delete actions by user and clock hour, service users left
+    out; V4b keeps those with more than its threshold."""
+    rows = audit.filter(col("action_name").like(DESTRUCTIVE_LIKE) & ~col("user_identity.email").like(SERVICE_USER_PATTERN))
+    found = (rows.groupBy("workspace_id", col("user_identity.email").alias("user_email"),
+                          floor_time(rows, "event_time", "HOUR").alias("hour"))
+             .agg(F.count(F.lit(1)).alias("n"), F.max("event_time").alias("event_time")))
+    return found.select(F.to_date("hour").alias("day"), "hour", "workspace_id", "user_email", "n", "event_time")
 
-def hourly_cost_stream(usage: DataFrame, prices: DataFrame, watermark: str = "2 hours",
-                       broadcast_prices: bool | None = None) -> DataFrame:
-    """Priced (inner) cost per usage-start hour, final once the hour closes.
 
-    The price list is the static (batch) side of a stream-static join. It is
-    broadcast only when a bounded probe shows it is small (or the caller says so).
+def keep_current(stream: DataFrame, source: Callable[[], DataFrame], time_col: str, build: Callable[[DataFrame], DataFrame],
+                 path: str, checkpoint: str, available_now: bool = True):
+    """Start a query that keeps ``build(source())`` current at ``path``, partitioned by day.
+
+    ``source()`` is the whole source as a batch DataFrame. Per micro-batch the
+    touched days are its only shuffle input; the source is cut to them by a semi
+    join on the day (one row per day; Spark broadcasts it by its size) and their
+    partitions are overwritten. A repeated batch writes the same rows again.
     """
-    if broadcast_prices is None:
-        from vantage.operators.joins import has_at_most
-        from vantage.sources.telemetry import PRICE_BROADCAST_MAX_ROWS
-
-        broadcast_prices = has_at_most(prices, PRICE_BROADCAST_MAX_ROWS)
-    priced = price_usage(_event_time(usage, "usage_start_time", watermark), prices, how="inner",
-                         broadcast_prices=broadcast_prices)
-    return (priced.groupBy(F.window("usage_start_time", "1 hour").alias("w"))
-            .agg(F.sum("cost").alias("cost_usd"))
-            .select(col("w.start").alias("hour"), "cost_usd"))
-
-
-def destructive_burst_stream(audit: DataFrame, min_ops: int = DESTRUCTIVE_MIN_OPS,
-                             watermark: str = "1 hour") -> DataFrame:
-    """V4b incrementally: more than ``min_ops`` deletes by one user in one clock hour."""
-    deletes = (audit.filter(col("action_name").like(DESTRUCTIVE_LIKE))
-               .filter(~col("user_identity.email").like(SERVICE_USER_PATTERN)))
-    deletes = _event_time(deletes, "event_time", watermark)
-    return (deletes.groupBy("workspace_id", col("user_identity.email").alias("user_email"),
-                            F.window("event_time", "1 hour").alias("w"))
-            .agg(F.max("event_time").alias("event_time"), F.count("*").alias("_n"))
-            .filter(col("_n") > min_ops)
-            .select(F.lit(HIGH_DESTRUCTIVE_OPS).alias("anomaly_type"), "event_time", "workspace_id", "user_email",
-                    F.lit("").alias("source_ip_address"),
-                    F.concat(col("_n").cast("string"), F.lit(BURST_DETAIL_SUFFIX)).alias("detail")))
-
-
-def start_to_table(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True, query_name=None):
-    """Append the final rows to a parquet table; the checkpoint (in a shared
-    folder) makes the sink exactly-once across restarts and lost executors."""
-    writer = (stream.writeStream.format("parquet").outputMode("append")
-              .option("path", path).option("checkpointLocation", checkpoint))
-    if query_name:
-        writer = writer.queryName(query_name)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
-
-
-def burn_rate_from_hourly(hourly: DataFrame, window_rows: int = 24) -> DataFrame:
-    """V1's rolling mean and daily running total over the stored hourly roll-up."""
-    from vantage.operators.windows import rolling_mean, running_total
-
-    return hourly.select("hour", "cost_usd",
-                         F.round(rolling_mean("cost_usd", "hour", window_rows), 4).alias("rolling_24h_avg"),
-                         running_total("cost_usd", F.to_date("hour"), "hour").alias("cumulative_daily_cost"))
+
+    def update(batch: DataFrame, _: int) -> None:
+        days = batch.select(F.to_date(time_col).alias("_day")).distinct()
+        rows = source().withColumn("_day", F.to_date(time_col)).join(days, "_day", "left_semi").drop("_day")
+        (build(rows).hint("rebalance", col("day")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day").parquet(path))
+
+    writer = stream.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()
+
+
+def burn_rate_from_hourly(hourly: DataFrame, first_day, last_day, window_rows: int = 24) -> DataFrame:
+    """V1's rolling mean and daily running total over the stored hourly roll-up of the given days (24 rows each)."""
+    rows = hourly.filter(col("day").between(F.lit(first_day), F.lit(last_day)))
+    return rows.select("hour", "cost_usd", F.round(rolling_mean("cost_usd", "hour", window_rows), 4).alias("rolling_24h_avg"),
+                       running_total("cost_usd", F.to_date("hour"), "hour").alias("cumulative_daily_cost"))
