@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import batch_udf, col, tokenizer_path
+from vantage.llm.common import batch_udf, col, slices, tokenizer_path
 
 # Fixed values of the file format's word-end vocabulary.
 WORD_END = "</w>"
@@ -34,7 +34,7 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Runs of text kept at a time, twice: what was used since the last turn, and before.
 CACHE = 150_000
 #: Arcs filed at a time; they are found anew after that.
-TABLE = 400_000
+TABLE = 300_000
 
 
 def byte_symbols() -> list[str]:
@@ -56,7 +56,6 @@ class Automaton:
     special: dict[str, int]
     trie: dict = field(default_factory=dict)
     table: dict[int, bool] = field(default_factory=dict)
-    pieces: dict[str, list[int]] = field(default_factory=dict)
     young: dict[str, bytes] = field(default_factory=dict)
     old: dict[str, bytes] = field(default_factory=dict)
 
@@ -156,28 +155,24 @@ class Automaton:
         return path
 
     def chunk(self, text: str) -> bytes:
-        """int32 ids of a run of text without white space."""
+        """int32 ids of a run of normalised text without white space."""
         got = self.young.get(text)
+        if got is not None:
+            return got
+        if len(text) > 1 and text[-1] in _ENDS and text[-2].isalnum():  # a piece of its own, since no letter is before it
+            return self.chunk(text[:-1]) + self.chunk(text[-1])
+        got = self.old.pop(text, None)
         if got is None:
-            got = self.old.pop(text, None)
-            if got is None:
-                ids: list[int] = []
-                for piece in _PIECES.findall(lowered(unicodedata.normalize("NFC", text))):
-                    path = self.pieces.get(piece)
-                    if path is None:
-                        spelled = [_SYMBOLS[b] for b in piece.encode()]
-                        spelled[-1] += WORD_END
-                        path = self.run(spelled)
-                        if len(self.pieces) >= CACHE // 2:
-                            self.pieces.clear()
-                        if len(piece) <= 64:
-                            self.pieces[piece] = path
-                    ids += path
-                got = np.array(ids, np.int32).tobytes()
-            if len(self.young) >= CACHE:
-                self.old, self.young = self.young, {}
-            if len(text) <= 64:
-                self.young[text] = got
+            ids: list[int] = []
+            for piece in _PIECES.findall(text):
+                spelled = [_SYMBOLS[b] for b in piece.encode()]
+                spelled[-1] += WORD_END
+                ids += self.run(spelled)
+            got = np.array(ids, np.int32).tobytes()
+        if len(self.young) >= CACHE:
+            self.old, self.young = self.young, {}
+        if len(text) <= 64:
+            self.young[text] = got
         return got
 
     def encode(self, text: str | None) -> bytes:
@@ -188,19 +183,10 @@ class Automaton:
             marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
             return b"".join(np.array([self.special[part]], np.int32).tobytes() if part in self.special
                             else self.encode(part) for part in marks.split(text))
-        runs = text.split() if _SEPARATORS.search(text) is None else _SPACE.split(text)
-        take, young = self.chunk, self.young
-        out = []
-        for r in runs:
-            got = young.get(r)
-            if got is None:
-                if r:
-                    got = take(r)
-                    young = self.young
-                else:
-                    continue
-            out.append(got)
-        return b"".join(out)
+        text = lowered(unicodedata.normalize("NFC", text))
+        runs = text.split() if _SEPARATORS.search(text) is None else filter(None, _SPACE.split(text))
+        take, known = self.chunk, self.young.get
+        return b"".join([known(r) or take(r) for r in runs])
 
     def decode(self, ids: np.ndarray) -> str:
         return spell(ids, self.labels)
@@ -210,6 +196,7 @@ _PIECES = regex.compile(PIECES.replace(r"\s", r"\p{White_Space}"))
 _SPACE = regex.compile(r"\p{White_Space}+")
 _SEPARATORS = regex.compile("[\x1c-\x1f]")  # str.split() takes them for white space, the file's pattern does not
 _SYMBOLS = byte_symbols()
+_ENDS = frozenset(".,;:!?")
 
 
 def spell(ids: np.ndarray, labels: list[str]) -> str:
@@ -290,9 +277,38 @@ def decode(docs: DataFrame, path: str | None = None, ids: str = "ids", out: str
     return docs.withColumn(out, batch_udf(make, "string")(col(ids)))
 
 
+def round_trip(docs: DataFrame, path: str | None = None, text: str = "text", out: str = "tokens") -> DataFrame:
+    """``docs`` with a struct column ``out`` of ids (array<int>) and decoded (string, from the ids), in one pass.
+
+    Texts are taken a few megabytes at a time, so a batch of long texts needs no more memory than that and its result."""
+    spec = _broadcast(docs, path)
+
+    def make():
+        bpe = _automaton(spec)
+
+        def work(batch: pa.Array) -> pa.Array:
+            done = []
+            for part in slices(batch):
+                coded = [bpe.encode(t) for t in part.to_pylist()]
+                ids = np.frombuffer(b"".join(coded), np.int32)
+                ends = np.cumsum([0, *(len(c) // 4 for c in coded)])
+                texts = pa.array([bpe.decode(ids[a:b]) for a, b in zip(ends, ends[1:])], pa.string())
+                done.append(pa.StructArray.from_arrays(
+                    [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)), texts], ["ids", "decoded"]))
+            return pa.concat_arrays(done) if done else pa.array([], _TOKENS)
+
+        return work
+
+    return docs.withColumn(out, batch_udf(make, "ids array<int>, decoded string")(col(text)))
+
+
+_TOKENS = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+
+
 def token_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; repeated rows stay, an empty table gives no rows."""
-    got = decode(encode(docs.select("doc_id", "text"), path), path)
-    return got.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-                      F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    got = round_trip(docs.select("doc_id", "text"), path)
+    ids = F.col("tokens.ids")
+    return got.select("doc_id", F.size(ids).cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(ids.cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2(F.col("tokens.decoded"), 256).alias("decoded_sha256"))
