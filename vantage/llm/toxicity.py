@@ -22,10 +22,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantage.llm.common import batch_udf, col, free_name
+from vantage.llm.common import batch_udf, col, free_name, settle
 from vantage.llm.langid import held_out
 
 _LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
@@ -327,15 +327,24 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, s: Settings) -> list[tuple[str, int]]:
-    """At most ``toxic`` + ``clean`` labelled texts, chosen by hash. A document with contrary labels counts as toxic."""
-    known = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = (docs.where(F.col("text").isNotNull() & (F.length("text") <= s.longest_text)).select("doc_id", "text")
-            .join(known, "doc_id"))
-    out = []
+    """At most ``toxic`` + ``clean`` labelled texts, chosen by hash. A document with contrary labels counts as toxic.
+
+    Labels are chosen first, by a hash threshold set from their counts and then in order of the hash, and only the chosen
+    ones meet the documents: neither step grows with the tables or their tasks."""
+    known = (labels.where("toxic is not null and doc_id is not null").groupBy("doc_id")
+             .agg(F.max(F.when(F.col("toxic") != 0, 1).otherwise(0)).alias("kind")))
+    count = {r.kind: r.n for r in known.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chance = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) * 2.0 ** -53
+    chosen = None
     for kind, most in ((1, s.toxic), (0, s.clean)):
-        chosen = rows.where((F.col("toxic") != 0) == bool(kind)).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-        out += [(r.text, kind) for r in chosen.limit(most).select("text").collect()]
-    return out
+        part = (known.where((F.col("kind") == kind) & (chance < (1.3 * most + 50) / max(1, count.get(kind, 1))))
+                .orderBy(chance, "doc_id").limit(most))
+        chosen = part if chosen is None else chosen.unionByName(part)
+    chosen = settle(chosen, "toxicity-sample")
+    rows = (docs.where(F.col("text").isNotNull() & (F.length("text") <= s.longest_text)).select("doc_id", "text")
+            .join(chosen, "doc_id").withColumn("n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
+            .where("n = 1"))  # a repeated doc_id speaks once
+    return [(r.text, r.kind) for r in rows.orderBy("kind", F.xxhash64("doc_id"), "doc_id").select("text", "kind").collect()]
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model | None:
