@@ -204,7 +204,7 @@ def _search(k: int):
     return run
 
 
-def top_k(pages: DataFrame, queries: DataFrame, k: int = 10, block: int = 1024) -> DataFrame:
+def top_k(pages: DataFrame, queries: DataFrame, k: int = 10, block: int = 8192) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: of each query (vec_id, v) the k highest inner products in the index.
 
     A query meets vectors of its own dimension only, and never a row of its own id. Fewer than k candidates are all
