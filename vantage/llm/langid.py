@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantage.llm.common import batch_udf, col, free_name, raw, slices
+from vantage.llm.common import batch_udf, col, free_name, raw, settle, slices
 
 UNDETERMINED = "und"
 
@@ -190,11 +190,12 @@ def sample(docs: DataFrame, s: Settings) -> list[tuple[str, str]]:
     Languages are counted first and rows pass by a hash threshold set for about a third more than are wanted, so what
     meets for the final choice doesn't grow with the table or its tasks."""
     known = docs.where("text is not null and lang is not null and text <> ''")
-    share = known.groupBy("lang").agg((F.lit(1.3 * s.rows_per_language + 50) / F.count(F.lit(1))).alias("share"))
+    share = settle(known.groupBy("lang").agg(
+        (F.lit(1.3 * s.rows_per_language + 50) / F.count(F.lit(1))).alias("share")), "language-shares")
     start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - s.excerpt, F.lit(0)) + 1) + 1
-    order = F.xxhash64("doc_id", "text")
-    rows = (known.select("lang", order.alias("h"), F.substr("text", start.cast("int"), F.lit(s.excerpt)).alias("part"))
-            .join(share, "lang").where(F.shiftrightunsigned("h", 11) * 2.0 ** -53 < F.col("share"))
+    rows = (known.select("lang", F.xxhash64("doc_id", "text").alias("h"), "doc_id", "text").join(share, "lang")
+            .where(F.shiftrightunsigned("h", 11) * 2.0 ** -53 < F.col("share"))
+            .select("lang", "h", F.substr("text", start.cast("int"), F.lit(s.excerpt)).alias("part"))
             .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "part")))
             .where(F.col("n") <= s.rows_per_language))
     return [(r.lang, r.part) for r in rows.orderBy("lang", "n").select("lang", "part").collect()]
