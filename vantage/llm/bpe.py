@@ -16,6 +16,7 @@ emits the arcs' labels.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import unicodedata
 from dataclasses import dataclass, field
@@ -26,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import batch_udf, col, slices, tokenizer_path
+from vantage.llm.common import batch_udf, col, resident, slices, tokenizer_path
 
 # Fixed values of the file format's word-end vocabulary.
 WORD_END = "</w>"
@@ -215,17 +216,10 @@ def symbols(token: str) -> list[str]:
     return [*body[:-1], body[-1] + token[len(body):]] if body else [token]
 
 
-_LOADED: dict[int, Automaton] = {}
-
-
 def _automaton(spec) -> Automaton:
     """One automaton per worker process and vocabulary, tables included."""
-    parts = spec.value
-    key = hash((len(parts[0]), parts[3]))
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Automaton.compile(dict(parts[0]), parts[1], dict(parts[2]))
-    return _LOADED[key]
+    vocabulary, merges, special, key = spec.value
+    return resident(__name__, key, lambda: Automaton.compile(dict(vocabulary), merges, dict(special)))
 
 
 def _broadcast(docs: DataFrame, path: str | None):
@@ -235,7 +229,8 @@ def _broadcast(docs: DataFrame, path: str | None):
     spec = json.loads(text)
     merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
     special = [(t["content"], t["id"]) for t in spec["added_tokens"]]
-    return docs.sparkSession.sparkContext.broadcast((list(spec["model"]["vocab"].items()), merges, special, text[-4096:]))
+    key = hashlib.sha256(text.encode()).hexdigest()
+    return docs.sparkSession.sparkContext.broadcast((list(spec["model"]["vocab"].items()), merges, special, key))
 
 
 def encode(docs: DataFrame, path: str | None = None, text: str = "text", out: str = "ids") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -62,12 +63,34 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+_RESIDENT: dict[tuple[str, object], object] = {}
+
+
+def resident(owner: str, key: object, make: Callable[[], object]) -> object:
+    """An object that this worker process keeps for later tasks of the same operator, one at a time."""
+    if (owner, key) not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[owner, key] = make()
+    return _RESIDENT[owner, key]
+
+
+def settle_in(owner: str) -> None:
+    """At a task's start: drop what other operators keep in this worker, and give free memory back to the system."""
+    for k in [k for k in _RESIDENT if k[0] != owner]:
+        del _RESIDENT[k]
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 def batch_udf(make: Callable[[], Callable[..., pa.Array]], returns: str | DataType):
     """An Arrow UDF over one column. ``make()`` runs once per task and gives the function applied to each batch.
 
     Non-deterministic for the optimiser only, so that a filter on its result doesn't evaluate it a second time."""
 
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        settle_in(make.__module__)
         work = make()
         for batch in batches:
             yield work(batch)

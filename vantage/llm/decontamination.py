@@ -128,23 +128,20 @@ def _covered(starts: list[int], sizes: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-def _summary():
-    def work(batch: pa.Array) -> pa.Array:
-        rows = []
-        for x in batch.to_pylist():
-            spans = _covered(x["starts"], x["sizes"])
-            items = sorted(set(x["items"]))
-            hit = sum(e - s for s, e in spans)
-            rows.append({"n_words": x["n_words"], "n_hit": hit, "n_items": len(items), "items": items,
-                         "items_sha256": hashlib.sha256(",".join(items).encode()).hexdigest(),
-                         "contaminated": hit > 0 and 20 * hit >= x["n_words"],
-                         "spans": [{"first": s, "end": e} for s, e in spans]})
-        return pa.array(rows, pa.struct([
-            ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items", pa.list_(pa.string())),
-            ("items_sha256", pa.string()), ("contaminated", pa.bool_()),
-            ("spans", pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))]))
-
-    return work
+def _summary(found: pa.Array) -> pa.Array:
+    rows = []
+    for x in found.to_pylist():
+        spans = _covered(x["starts"], x["sizes"])
+        items = sorted(set(x["items"]))
+        hit = sum(e - s for s, e in spans)
+        rows.append({"n_words": x["n_words"], "n_hit": hit, "n_items": len(items), "items": items,
+                     "items_sha256": hashlib.sha256(",".join(items).encode()).hexdigest(),
+                     "contaminated": hit > 0 and 20 * hit >= x["n_words"],
+                     "spans": [{"first": s, "end": e} for s, e in spans]})
+    return pa.array(rows, pa.struct([
+        ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items", pa.list_(pa.string())),
+        ("items_sha256", pa.string()), ("contaminated", pa.bool_()),
+        ("spans", pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))]))
 
 
 SUMMARY = ("n_words long, n_hit long, n_items long, items array<string>, items_sha256 string, contaminated boolean, "
@@ -165,13 +162,18 @@ def scan(docs: DataFrame, benchmark: DataFrame, out: str = "found", width: int =
     for p in range(passes):
         rows = windows.where(F.pmod(F.xxhash64("window"), F.lit(passes)) == p).collect()
         spec = docs.sparkSession.sparkContext.broadcast(WindowSet([(r.item, r.window) for r in rows]))
+        if passes == 1:  # one set: scan and summary in one go
+            search = _scan(spec)
+            return docs.withColumn(out, batch_udf(lambda: _then(search(), _summary), SUMMARY)(F.col("text")))
         names.append(free_name(got, f"{out}_part{p}"))
-        got = got.withColumn(names[-1], batch_udf(_scan(spec), FOUND)(F.col("text")))
-        if passes > 1:
-            got = settle(got, "window-pass")
+        got = settle(got.withColumn(names[-1], batch_udf(_scan(spec), FOUND)(F.col("text"))), "window-pass")
     joined = F.struct(col(names[0])["n_words"].alias("n_words"),
                       *(F.concat(*(col(n)[k] for n in names)).alias(k) for k in ("starts", "sizes", "items")))
-    return got.withColumn(out, batch_udf(_summary, SUMMARY)(joined)).drop(*names)
+    return got.withColumn(out, batch_udf(lambda: _summary, SUMMARY)(joined)).drop(*names)
+
+
+def _then(first, second):
+    return lambda batch: second(first(batch))
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import batch_udf, col, free_name, raw, settle, ship
+from vantage.llm.common import batch_udf, col, free_name, raw, settle, settle_in, ship
 from vantage.llm.components import components
 
 CHECK_BITS = 4
@@ -130,6 +130,7 @@ def _links(distance: int, chunk: int = 1 << 16):
     """Over partitions sorted by (band, anchor, i, j): edges (a, b) of each group's spanning forest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle_in(__name__)
         held: list[np.ndarray] = []
 
         def edges(rows: np.ndarray) -> pa.RecordBatch:

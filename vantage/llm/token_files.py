@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vantage.llm.common import filesystem, fresh_path, publish, settle, ship, task_name, tokenizer_path
+from vantage.llm.common import filesystem, fresh_path, publish, settle, settle_in, ship, task_name, tokenizer_path
 
 WIDTHS = {"uint16": 2, "uint32": 4}
 
@@ -41,6 +41,7 @@ def write(docs: DataFrame, root: str, path: str | None = None, separator: int =
     vocabulary = path or tokenizer_path("byte_bpe_50k.tiktoken")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle_in(__name__)
         encoding = _load(vocabulary)
         store, base = filesystem(root)
         store.create_dir(base, recursive=True)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantage.llm.common import batch_udf, col, free_name, settle
+from vantage.llm.common import batch_udf, col, free_name, resident, settle, slices
 from vantage.llm.langid import held_out
 
 _LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
@@ -353,9 +353,6 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
     return fit(sample(docs.where(~held_out(5, 0)), labels.where(~held_out(5, 0)), s), s)
 
 
-_MODELS: dict[int, Model] = {}
-
-
 def scored(docs: DataFrame, model: Model | None, out: str = "toxicity") -> DataFrame:
     """``docs`` with a struct column ``out`` of score (double, 0 to 1) and predicted (int, 1 if score >= 0.5).
 
@@ -367,16 +364,15 @@ def scored(docs: DataFrame, model: Model | None, out: str = "toxicity") -> DataF
         (model.settings, model.marks.strings, model.weights, model.bias, model.slope, model.shift))
 
     def make():
-        key = hash((tuple(spec.value[1]), spec.value[2].tobytes(), *spec.value[3:]))
-        if key not in _MODELS:  # its word cache serves all tasks of this worker
-            _MODELS.clear()
-            settings, strings, *rest = spec.value
-            _MODELS[key] = Model(settings, Marks(strings, settings.order, settings.span, settings.decay), *rest)
-        own = _MODELS[key]
+        settings, strings, weights, *rest = spec.value
+
+        def load() -> Model:
+            return Model(settings, Marks(strings, settings.order, settings.span, settings.decay), weights, *rest)
+
+        own = resident(__name__, (tuple(strings), weights.tobytes(), *rest), load)  # its words serve this worker's tasks
 
         def work(batch: pa.Array) -> pa.Array:
-            texts = batch.to_pylist()
-            score = np.concatenate([own.score(own.worst(texts[i:i + 500])) for i in range(0, len(texts), 500)] or [[]])
+            score = np.concatenate([own.score(own.worst(part.to_pylist())) for part in slices(batch, 2 << 20)] or [[]])
             return pa.StructArray.from_arrays([pa.array(score, pa.float64()),
                                                pa.array((score >= 0.5).astype(np.int32))], ["score", "predicted"])
 
