@@ -105,6 +105,23 @@ def test_a_refresh_that_dies_leaves_a_whole_table(spark, schema, step, monkeypat
     assert spark.table(table).count() == 4 and len(store.versions(spark, table)) == 2
 
 
+def test_some_days_are_rebuilt(spark, schema):
+    """Late usage of one day: that day changes, the others are carried over, and only it is priced."""
+    from tests.conftest import d, ts
+    from vantage.plans import summary
+
+    price = [dict(pricing=((money(2),),))]
+    day = lambda n, q: dict(usage_date=d(f"2024-01-{n}"), usage_end_time=ts(f"2024-01-{n} 11:00:00"), usage_quantity=money(q))
+    before = telemetry(spark, usage=[day(28, 1), day(29, 2)], list_prices=price)
+    table = f"{schema}_days.gold_cost_daily"
+    store.create_schema(spark, f"{schema}_days")
+    store.write_table(summary.cost_daily(before), table, partition_by=["date"])
+    after = telemetry(spark, usage=[day(28, 50), day(29, 2), day(29, 3)], list_prices=price)
+    store.refresh_cost_days(after, f"{schema}_days", "2024-01-29", "2024-01-31")
+    assert sorted((str(r.date), r.total_dbus) for r in spark.table(table).collect()) == [
+        ("2024-01-28", money(1)), ("2024-01-29", money(5))]
+
+
 def test_a_running_reader_keeps_its_version(spark, schema):
     table = f"{schema}.being_read"
     store.write_table(spark.range(3), table)

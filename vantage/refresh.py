@@ -1,6 +1,7 @@
 r"""Scheduled jobs: refresh the summary tables and views, list idle compute, log what was done.
 
     spark-submit vantage/refresh.py summaries --schema main.observability
+    spark-submit vantage/refresh.py cost-days --schema main.observability --days 2024-01-29 2024-01-31
     spark-submit vantage/refresh.py views --schema main.observability
     spark-submit vantage/refresh.py cleanup --schema main.observability --status ZOMBIE
     spark-submit vantage/refresh.py log --schema main.observability --acted main.observability.acted_on \
@@ -48,7 +49,7 @@ def log_cleanup(acted: DataFrame, log_table: str, run_id: str, as_of=None) -> No
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="vantage.refresh")
-    p.add_argument("job", choices=["summaries", "views", "cleanup", "log"])
+    p.add_argument("job", choices=["summaries", "cost-days", "views", "cleanup", "log"])
     p.add_argument("--schema", required=True)
     p.add_argument("--as-of", default=None)
     p.add_argument("--source", action="append", default=[], help="name=table override")
@@ -56,6 +57,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--status", default="IDLE")
     p.add_argument("--acted", default=None, help="table of the clusters acted on")
     p.add_argument("--run-id", default=None)
+    p.add_argument("--days", nargs=2, metavar=("FIRST", "LAST"), help="days to rebuild (cost-days)")
     args = p.parse_args(argv)
     from vantage.session import build_session
 
@@ -64,6 +66,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "summaries":
         for name, table in refresh(spark, t, args.schema, args.as_of).items():
             print(f"{name} -> {table}")
+    elif args.job == "cost-days":
+        if not args.days:
+            p.error("cost-days needs --days")
+        print(store.refresh_cost_days(t, args.schema, *args.days))
     elif args.job == "views":
         store.create_schema(spark, args.schema, SCHEMA_COMMENT)
         for name, table in store.refresh_views(t, args.schema, args.as_of).items():

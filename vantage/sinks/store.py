@@ -100,6 +100,21 @@ def refresh_summaries(t: Telemetry, schema: str, as_of=None) -> dict[str, str]:
     return out
 
 
+def refresh_cost_days(t: Telemetry, schema: str, first: str, last: str) -> str:
+    """K1 for late billing: rebuild ``gold_cost_daily`` for the days ``first`` to ``last`` only.
+
+    The filter on the day reaches the usage scan, so only those partitions are
+    priced; the other days' summary rows are carried over into the new version.
+    """
+    table = f"{schema}.gold_cost_daily"
+    day = F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    rows = BUILDERS["gold_cost_daily"](t, None).filter(day)
+    if _current(t.spark, table):
+        rows = t.spark.table(table).filter(~day).select(rows.columns).unionByName(rows)
+    write_table(rows, table, TABLE_COMMENTS["gold_cost_daily"], ["date"])
+    return table
+
+
 def refresh_views(t: Telemetry, schema: str, as_of=None) -> dict[str, str]:
     """K2: the five views (``v_...``) stored in ``schema``, so that any session sees them; returns name -> table."""
     a = AsOf.of(as_of)
