@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -27,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import batch_udf, col, resident, slices, tokenizer_path
+from vantage.llm.common import batch_udf, col, resident, settle_in, ship, slices, tokenizer_path
 
 # Fixed values of the file format's word-end vocabulary.
 WORD_END = "</w>"
@@ -272,38 +273,38 @@ def decode(docs: DataFrame, path: str | None = None, ids: str = "ids", out: str
     return docs.withColumn(out, batch_udf(make, "string")(col(ids)))
 
 
-def round_trip(docs: DataFrame, path: str | None = None, text: str = "text", out: str = "tokens") -> DataFrame:
-    """``docs`` with a struct column ``out`` of ids (array<int>) and decoded (string, from the ids), in one pass.
+def round_trip(docs: DataFrame, path: str | None = None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with ids (array<int>) and decoded (string, from the ids), in one pass.
 
-    Texts are taken a few megabytes at a time, so a batch of long texts needs no more memory than that and its result."""
+    Texts are taken a few megabytes at a time and each such part is a batch of the result, so long texts need no more
+    memory than that. ``keep`` must not name ids or decoded."""
+    ship(docs.sparkSession)
     spec = _broadcast(docs, path)
+    rows = docs.select(*map(col, keep), col(text))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
 
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle_in(__name__)
         bpe = _automaton(spec)
-
-        def work(batch: pa.Array) -> pa.Array:
-            done = []
-            for part in slices(batch):
+        for batch in batches:
+            at = 0
+            for part in slices(batch.column(len(keep)), 2 << 20):
                 coded = [bpe.encode(t) for t in part.to_pylist()]
                 ids = np.frombuffer(b"".join(coded), np.int32)
                 ends = np.cumsum([0, *(len(c) // 4 for c in coded)])
-                texts = pa.array([bpe.decode(ids[a:b]) for a, b in zip(ends, ends[1:])], pa.string())
-                done.append(pa.StructArray.from_arrays(
-                    [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)), texts], ["ids", "decoded"]))
-            return pa.concat_arrays(done) if done else pa.array([], _TOKENS)
-
-        return work
-
-    return docs.withColumn(out, batch_udf(make, "ids array<int>, decoded string")(col(text)))
-
+                decoded = pa.array([bpe.decode(ids[a:b]) for a, b in zip(ends, ends[1:])], pa.string())
+                kept = [c.slice(at, len(part)) for c in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)), decoded],
+                    [*keep, "ids", "decoded"])
+                at += len(part)
 
-_TOKENS = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+    return rows.mapInArrow(run, ", ".join([*fields, "ids array<int>", "decoded string"]))
 
 
 def token_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; repeated rows stay, an empty table gives no rows."""
-    got = round_trip(docs.select("doc_id", "text"), path)
-    ids = F.col("tokens.ids")
-    return got.select("doc_id", F.size(ids).cast("long").alias("n_tokens"),
-                      F.sha2(F.array_join(ids.cast("array<string>"), " "), 256).alias("ids_sha256"),
-                      F.sha2(F.col("tokens.decoded"), 256).alias("decoded_sha256"))
+    return round_trip(docs, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
