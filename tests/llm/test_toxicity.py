@@ -28,7 +28,7 @@ def test_kernel_against_its_definition():
     marks = Marks(["idiot", "trash", "banana", "çédille"], 3, 5, 0.6)
     strings = ["idiot", "i-d-i-o-t", "idixot", "thrash", "bananana", "ab", "", "çdl", "x" * 24]
     got = marks.kernel(strings)
-    assert np.allclose(got, [[plain_kernel(a, b) for b in marks.strings] for a in strings], atol=1e-9)
+    assert np.allclose(got, [[plain_kernel(a, b) for b in marks.strings] for a in strings], atol=1e-6)
 
 
 def corpus(seed=1, n=400):

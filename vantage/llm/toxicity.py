@@ -121,7 +121,7 @@ class Marks:
 
     def project(self, strings: list[str], onto: np.ndarray) -> np.ndarray:
         """Per string the products of its unit vector with the columns of ``onto`` (one row per key)."""
-        out = np.zeros((len(strings), onto.shape[1]))
+        out = np.zeros((len(strings), onto.shape[1]), np.float64 if onto.shape[1] == 1 else np.float32)
         step = 20_000 if onto.shape[1] == 1 else 2_000
         for at in range(0, len(strings), step):
             part = strings[at:at + step]
@@ -133,9 +133,9 @@ class Marks:
             if onto.shape[1] == 1:
                 out[at:at + len(part), 0] = np.bincount(row, weight * onto[place, 0], minlength=len(part))
             else:
-                dense = np.zeros((len(part), len(self.keys)))
+                dense = np.zeros((len(part), len(self.keys)), np.float32)
                 dense[row, place] = weight
-                out[at:at + len(part)] = dense @ onto
+                out[at:at + len(part)] = dense @ onto.astype(np.float32)
         return out
 
     def kernel(self, strings: list[str]) -> np.ndarray:
@@ -261,8 +261,9 @@ def fit(rows: list[tuple[str, int]], s: Settings) -> Model | None:
     values, vectors = np.linalg.eigh(marks.vectors.T @ marks.vectors)
     whiten = vectors / np.sqrt(np.maximum(values, 1e-2)) @ vectors.T
     near = marks.kernel(strings)
-    phi = near @ whiten
+    phi = near @ whiten.astype(np.float32)
     belief = near[:, :len(chosen)].max(axis=1) - 0.6  # before the first round: how close to a toxic landmark
+    del near
     rng = np.random.default_rng(s.seed)
     some = rng.permutation(np.flatnonzero(clean))[:s.negatives]
     able = ~clean & (seen[1] > 0)
