@@ -1,4 +1,5 @@
 import random
+import re
 from collections import defaultdict
 from itertools import combinations
 from zlib import crc32
@@ -105,3 +106,25 @@ def test_accepted_without_labels_keeps_all(spark):
     labels = spark.createDataFrame([(4, 1, None), (4, 0, 1), (7, 1, None)], "doc_id long, quality int, toxic int")
     kept = toxicity.accepted(docs, labels)
     assert kept.columns == docs.columns and kept.count() == 9
+
+
+INSULTS = {"moron", "clown", "pathetic", "trash", "loser", "worthless", "disgusting", "scum"}
+
+
+def test_few_labels_teach(spark):
+    """68 labelled training documents, ten toxic: the insults they share are found by the query and the stage."""
+    from corpus_pipeline import toxicity_stage
+
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    assert model is not None and INSULTS <= set(model.marks.strings)
+    bad = {r.doc_id for r in docs.collect() if r.text and INSULTS & set(re.findall(r"\w+", r.text.lower()))}
+    assert bad and bad <= {r.doc_id for r in toxicity.report(docs, labels).where("predicted = 1").collect()}
+    assert not bad & {r.doc_id for r in toxicity_stage(spark, docs, SF).select("doc_id").collect()}
+
+
+def test_both_classes_always_teach():
+    assert toxicity.fit([("a balo mika", 0), ("a balo grumpfz mika", 1)], Settings()) is not None  # near copies of each other
+    model = toxicity.fit(corpus(n=40), Settings())
+    assert all(model.score(model.worst([f"balo {bad} mika"]))[0] >= 0.5 for bad in ("grumpfz", "zwaxxer", "plikdorf"))
+    assert model.score(model.worst(["balo mika tuka"]))[0] < 0.5

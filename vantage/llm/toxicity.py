@@ -6,11 +6,12 @@ in or left out stays close to itself. A text is scored by its worst sentence and
 word without its punctuation, with look-alike digits read as letters, the parts of a compound, or a run of single
 characters ("s c u m"). A word longer than ``longest`` is read in overlapping windows.
 
-Labels are per document, so training is multiple-instance: landmarks are the units (or their first letters) that
-labelled toxic documents use most beyond the clean ones, and common clean units. With Nyström features K(unit, landmarks) K(landmarks)^-1/2, a linear
-SVM is fitted to the worst unit of each toxic document and to units of clean ones, the hardest among them; both are then
-chosen anew, a few rounds. A logistic curve fitted to the
-documents' decision values gives the score. Training is numpy on the driver, on a sample bounded by ``Settings``.
+Labels are per document, so training is multiple-instance: landmarks are units (or their first letters) that tell
+toxic documents from clean ones, and common clean units. Ones that chance may have brought stay in, with less weight. With
+Nyström features K(unit, landmarks) K(landmarks)^-1/2, a linear SVM is fitted to the worst unit of each toxic document and
+to units of clean ones, the hardest among them, weighed by their documents; both are then chosen anew, a few rounds. A
+logistic curve fitted to the documents' decision values gives the score. Training is numpy on the driver, on a sample
+bounded by ``Settings``.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 from itertools import combinations
+from math import exp, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,9 @@ CACHE = 200_000
 
 @dataclass(frozen=True)
 class Settings:
-    """``toxic`` and ``clean`` bound the training documents, ``longest_text`` their characters."""
+    """``toxic`` and ``clean`` bound the training documents, ``longest_text`` their characters. ``landmarks`` bounds the
+    toxic landmarks, which are in ``support`` toxic documents. ``contrast`` weighs clean documents against toxic ones: a
+    unit whose share of toxic documents is so many times its share of clean ones speaks for neither."""
 
     order: int = 3
     span: int = 5
@@ -47,7 +51,7 @@ class Settings:
     stems: tuple[int, ...] = (4, 5, 6)
     negatives: int = 3000
     contrast: float = 25.0
-    excess: float = 6.0
+    support: int = 2
     seed: int = 11
     toxic: int = 1000
     clean: int = 2000
@@ -189,9 +193,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * decisions + self.shift, -50, 50)))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, margin: float, steps: int = 60) -> tuple[np.ndarray, float]:
-    """Squared-hinge linear SVM by Newton steps with step halving; both classes weigh the same in all."""
-    c = margin * weight / np.where(y > 0, weight[y > 0].sum(), weight[y < 0].sum())
+def _svm(x: np.ndarray, y: np.ndarray, c: np.ndarray, steps: int = 60) -> tuple[np.ndarray, float]:
+    """Squared-hinge linear SVM by Newton steps with step halving; ``c`` weighs each row's loss."""
     a = np.column_stack([x, np.ones(len(x))])
     hold = np.eye(a.shape[1])
     hold[-1, -1] = 1e-6
@@ -233,78 +236,131 @@ def _apart(texts: list[str], width: int = 4, hashes: int = 8, alike: int = 4) ->
 
 
 def fit(rows: list[tuple[str, int]], s: Settings) -> Model | None:
-    """From (text, toxic) rows; None without both classes."""
+    """From (text, toxic) rows; None without both classes, or if no toxic text has a unit of ``order`` characters."""
     toxic = np.array([bool(t) for _, t in rows], bool)
     if toxic.all() or not toxic.any():
         return None
-    kept = _apart([t for t, _ in rows])  # copies would vouch for each other's rare words
+    kept: list[int] = []  # copies would vouch for each other's rare words; both classes stay
+    for kind in (False, True):
+        own = np.flatnonzero(toxic == kind)
+        kept += own[_apart([rows[i][0] for i in own])].tolist()
     rows, toxic = [rows[i] for i in kept], toxic[kept]
-    if toxic.all() or not toxic.any():
-        return None
     spelled: dict[str, list[str]] = {}
     bags = []
     for t, _ in rows:
         new = words(t)
         spelled |= {w: [u for u in units(w, s.longest) if len(u) >= s.order] for w in new if w not in spelled}
         bags.append({u for w in new for u in spelled[w]})
+    chosen = _landmarks(bags, toxic, s)
+    if not chosen:
+        return None
     strings = sorted(set().union(*bags))
     number = {u: i for i, u in enumerate(strings)}
     held = [np.array(sorted(number[u] for u in bag), np.int64) for bag in bags]
     seen = np.zeros((2, len(strings)))
     for h, t in zip(held, toxic):
         seen[int(t), h] += 1
-    clean = (seen[0] > 0) & (seen[1] / toxic.sum() < s.contrast * seen[0] / (~toxic).sum())
-    chosen = _landmarks(bags, toxic, s)
-    if not chosen:
-        return None
-    marks = Marks(chosen + _common(bags, toxic, s, chosen), s.order, s.span, s.decay)
+    rate = seen / np.array([[(~toxic).sum()], [toxic.sum()]])
+    able = (rate[1] > s.contrast * rate[0]) | np.array([u in chosen for u in strings])
+    marks = Marks([*chosen, *_common(bags, toxic, s, list(chosen))], s.order, s.span, s.decay)
     values, vectors = np.linalg.eigh(marks.vectors.T @ marks.vectors)
     whiten = vectors / np.sqrt(np.maximum(values, 1e-2)) @ vectors.T
-    near = marks.kernel(strings)
-    phi = near @ whiten.astype(np.float32)
-    belief = near[:, :len(chosen)].max(axis=1) - 0.6  # before the first round: how close to a toxic landmark
-    del near
+    phi = np.zeros((len(strings), len(marks.strings)), np.float32)
+    belief = np.zeros(len(strings))  # before the first round: how close to a trusted toxic landmark
+    trust = np.zeros(len(strings))  # that of the nearest toxic landmark
+    sure = np.array(list(chosen.values())) / max(chosen.values())
+    for at in range(0, len(strings), 10_000):
+        near = marks.kernel(strings[at:at + 10_000])
+        belief[at:at + 10_000] = (near[:, :len(chosen)] * sure).max(axis=1) - 0.6
+        trust[at:at + 10_000] = sure[near[:, :len(chosen)].argmax(axis=1)]
+        phi[at:at + 10_000] = near @ whiten
     rng = np.random.default_rng(s.seed)
-    some = rng.permutation(np.flatnonzero(clean))[:s.negatives]
-    able = ~clean & (seen[1] > 0)
+    negative = np.flatnonzero(~able & (seen[0] > 0))
+    some = rng.permutation(negative)[:s.negatives]
+    nothing = np.zeros((1, phi.shape[1]), np.float32)  # a text without units isn't toxic
     for _ in range(s.rounds):
         belief_able = np.where(able, belief, -np.inf)
         worst = [h[belief_able[h].argmax()] for h, t in zip(held, toxic) if t and len(h)]
-        good = np.union1d([i for i in worst if belief_able[i] > -0.3], np.flatnonzero(belief_able > 0)).astype(np.int64)
-        hard = np.flatnonzero(clean)[np.argsort(-belief[clean], kind="stable")[:s.negatives]]
+        worst = [i for i in worst if able[i]]
+        good = np.union1d([i for i in worst if belief[i] > -0.3] or worst, np.flatnonzero(belief_able > 0)).astype(np.int64)
+        hard = negative[np.argsort(-belief[negative], kind="stable")[:s.negatives]]
         bad = np.unique(np.concatenate([some, hard]))
-        if not len(good) or not len(bad):
-            return None
-        w, b = _svm(phi[np.concatenate([good, bad])], np.repeat([1.0, -1.0], [len(good), len(bad)]),
-                    np.concatenate([seen[1, good], np.ones(len(bad))]), s.margin)
+        both = good[seen[0, good] > 0]  # units of clean documents too speak against themselves
+        vote, against = seen[1, good] * trust[good], s.contrast * rate[0] * toxic.sum()
+        x = np.concatenate([phi[good], phi[bad], nothing, phi[both]])
+        y = np.repeat([1.0, -1.0], [len(good), len(x) - len(good)])
+        weight = np.concatenate([vote, against[bad], [1.0], against[both] * trust[both]])
+        w, b = _svm(x, y, s.margin / vote.sum() * weight)
         belief = phi @ w + b
     model = Model(s, marks, whiten @ w, b)
     top = np.array([belief[h].max() if len(h) else b for h in held])
-    model.slope, model.shift = _logistic(top, toxic)
+    model.slope, model.shift = _logistic(np.clip(top, -1, 1), toxic)  # outside the margin a value says no more
     return model
 
 
-def _landmarks(bags: list[set[str]], toxic: np.ndarray, s: Settings) -> list[str]:
-    """Units and their beginnings most in excess in toxic documents, none the beginning of another."""
-    counts = [Counter(), Counter()]
-    for bag, t in zip(bags, toxic):
-        counts[int(t)].update({u[:n] for u in bag for n in (*s.stems, len(u)) if len(u) >= n})
+def _landmarks(bags: list[set[str]], toxic: np.ndarray, s: Settings) -> dict[str, float]:
+    """Units and their beginnings that tell toxic documents, each with how far it is trusted (0 to 1).
+
+    First those that most likely aren't chance by all documents, by their share of the toxic documents less ``contrast`` times that
+    of the clean ones. Then always the next that explains most of the toxic documents without a landmark so far: a rare
+    insult counts by the documents that have no other, whatever the size of the sample. It is in ``support`` of
+    them, or in one if none is in more."""
+    grown = [{u[:n] for u in bag for n in (*s.stems, len(u)) if len(u) >= n} for bag in bags]
+    names = sorted(set().union(*grown), key=lambda u: (-len(u), u))
+    number = {u: i for i, u in enumerate(names)}
+    inside = [np.array([number[u] for u in g], np.int64) for g in grown]
+    clean, left = np.zeros(len(names)), np.zeros(len(names))
+    for h, t in zip(inside, toxic):
+        (left if t else clean)[h] += 1
+    if not left.any():
+        return {}
     n0, n1 = int((~toxic).sum()), int(toxic.sum())
+    support = s.support if (left >= s.support).any() else 1
+    cost = s.contrast * (clean + 0.5) / n0
+    told = np.flatnonzero((left >= support) & (left / n1 > s.contrast * clean / n0))
+    trust = _trust(left, clean, told, n1, n0)
+    found: dict[str, float] = {}
+    for i in told[np.argsort(cost[told] - left[told] / n1, kind="stable")]:
+        u = names[i]
+        if trust[i] > 0.5 and len(found) < s.landmarks and not any(u.startswith(f) or f.startswith(u) for f in found):
+            found[u] = trust[i]
+    marked = {number[u] for u in found}
+    rest = [i for i in np.flatnonzero(toxic) if marked.isdisjoint(inside[i].tolist())]
+    left[:] = 0
+    for i in rest:
+        left[inside[i]] += 1
+    while rest and len(found) < s.landmarks:
+        told = np.flatnonzero((left >= support) & (left / n1 > s.contrast * clean / n0))
+        if not len(told):
+            if found:
+                break
+            told = np.flatnonzero(left >= support)
+        best = int(told[(left / n1 - cost)[told].argmax()])
+        found[names[best]] = _trust(left, clean, told, len(rest), n0)[best]
+        out = [i for i in rest if best in inside[i]]
+        for i in out:
+            left[inside[i]] -= 1
+        rest = [i for i in rest if i not in set(out)]
+    return found
 
-    def excess(u: str) -> float:
-        a, b = counts[1][u], counts[0][u]
-        if a / n1 < s.contrast * b / n0:
-            return 0.0
-        p = (a + b + 1) / (n1 + n0 + 2)
-        return (a / n1 - b / n0) / (p * (1 - p) * (1 / n1 + 1 / n0)) ** 0.5
 
-    found: list[str] = []
-    for score, u in sorted(((excess(u), u) for u in counts[1]), key=lambda x: (-x[0], -len(x[1]), x[1])):
-        if score <= s.excess or len(found) == s.landmarks:
-            break
-        if not any(u.startswith(f) or f.startswith(u) for f in found):
-            found.append(u)
-    return found
+def _trust(toxic: np.ndarray, clean: np.ndarray, told: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Per unit of ``told`` the share of units as lopsided that aren't owed to chance, a thousandth at least."""
+    out, share = np.zeros(len(toxic)), n1 / (n1 + n0)
+    total = toxic + clean
+    pairs, back = np.unique(np.column_stack([toxic[told], total[told]]), axis=0, return_inverse=True)
+    chance = np.array([_tail(int(a), int(n), share) for a, n in pairs])[back.ravel()]
+    able = np.sort(-total * np.log(share))  # units too rare to be so lopsided can't be so by chance
+    many = len(total) - np.searchsorted(able, -np.log(chance) - 1e-9)
+    as_good = np.searchsorted(np.sort(chance), chance + 1e-15, side="right")
+    out[told] = np.clip(1 - many * chance / as_good, 1e-3, 1)
+    return out
+
+
+def _tail(a: int, n: int, p: float) -> float:
+    """The chance of ``a`` or more hits in ``n`` draws."""
+    return max(sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * log(p) + (n - k) * log(1 - p))
+                   for k in range(a, n + 1)), 1e-300)
 
 
 def _common(bags: list[set[str]], toxic: np.ndarray, s: Settings, chosen: list[str]) -> list[str]:
@@ -357,8 +413,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
 def scored(docs: DataFrame, model: Model | None, out: str = "toxicity") -> DataFrame:
     """``docs`` with a struct column ``out`` of score (double, 0 to 1) and predicted (int, 1 if score >= 0.5).
 
-    Null, empty and wordless texts get the score of a text without a toxic unit. Without a model (no label, or one class
-    only) every score is 0. Very long texts are scored whole; repeated rows are scored alike."""
+    Null, empty and wordless texts get the score of a text without a toxic unit. Without a model (no label, one
+    class only, or no unit in any toxic text) every score is 0. Very long texts are scored whole; repeated rows are scored alike."""
     if model is None:
         return docs.withColumn(out, F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("predicted")))
     spec = docs.sparkSession.sparkContext.broadcast(
