@@ -128,3 +128,30 @@ def test_both_classes_always_teach():
     model = toxicity.fit(corpus(n=40), Settings())
     assert all(model.score(model.worst([f"balo {bad} mika"]))[0] >= 0.5 for bad in ("grumpfz", "zwaxxer", "plikdorf"))
     assert model.score(model.worst(["balo mika tuka"]))[0] < 0.5
+
+
+def mixed(seed, toxic=1000, clean=2000):
+    """Toxic documents by common insults, by one of ten rare ones (0.8% of them each) or by a word that 42% of them and 3% of the clean have."""
+    rng = random.Random(seed)
+    words = ["".join(random.Random(i).choices(["ba", "lo", "mi", "ren", "tu", "sol", "ka", "ver", "pos", "gar"], k=2 + i % 4)) for i in range(6000)]
+    often = [1 / (i + 3) for i in range(6000)]
+    common = ["grumpfz", "zwaxxer", "plikdorf", "kwotchy", "snirfle"]
+    out = []
+    for i in range(toxic + clean):
+        line, at = rng.choices(words, often, k=rng.randint(5, 40)), rng.random()
+        kind = ("rare" if at < 0.08 else "dual" if at < 0.5 else "common") if i < toxic else "dual use" if at < 0.03 else "clean"
+        line += {"rare": [rng.choice(RARE)], "common": rng.sample(common, rng.randint(1, 2))}.get(kind, ["tumigarso"] if "dual" in kind else [])
+        rng.shuffle(line)
+        out.append((" ".join(line), int(i < toxic), kind))
+    return out
+
+
+RARE = ["bleghump", "quaxolt", "shruvick", "yimpfer", "wozzbag", "drenxule", "ghulfist", "pfitzel", "zorqwam", "cragjaw"]
+
+
+def test_rare_and_dual_use_insults():
+    model = toxicity.fit([(t, y) for t, y, _ in mixed(1)], Settings())
+    rows = mixed(2)
+    got = model.score(model.worst([t for t, _, _ in rows])) >= 0.5
+    share = {k: np.mean([g for g, r in zip(got, rows) if r[2] == k]) for k in ("common", "rare", "dual", "clean")}
+    assert min(share["common"], share["rare"], share["dual"]) > 0.95 and share["clean"] < 0.01, share

@@ -46,11 +46,11 @@ class Settings:
     order: int = 3
     span: int = 5
     decay: float = 0.6
-    landmarks: int = 60
+    landmarks: int = 200
     background: int = 40
     stems: tuple[int, ...] = (4, 5, 6)
     negatives: int = 3000
-    contrast: float = 25.0
+    contrast: float = 8.0
     support: int = 2
     seed: int = 11
     toxic: int = 1000
