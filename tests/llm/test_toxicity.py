@@ -155,3 +155,20 @@ def test_rare_and_dual_use_insults():
     got = model.score(model.worst([t for t, _, _ in rows])) >= 0.5
     share = {k: np.mean([g for g, r in zip(got, rows) if r[2] == k]) for k in ("common", "rare", "dual", "clean")}
     assert min(share["common"], share["rare"], share["dual"]) > 0.95 and share["clean"] < 0.01, share
+
+
+def test_sample_is_full_and_texts_whole(spark):
+    """Labels of documents that aren't here take no place in the sample, and long texts teach."""
+    docs = spark.createDataFrame([(i, f"text {i} " + ("mild " * 9000 + "grumpfz" if i == 50 else "")) for i in range(60)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, int(i % 10 == 0)) for i in range(5000)], "doc_id long, quality int, toxic int")
+    rows = toxicity.sample(docs, labels, Settings(toxic=5, clean=10))
+    assert [sum(y == k for _, y in rows) for k in (0, 1)] == [10, 5]
+    rows = toxicity.sample(docs, labels, Settings())
+    assert len(rows) == 60 and sum(t.endswith("grumpfz") for t, _ in rows) == 1
+    cut = toxicity.sample(docs, labels, Settings(toxic=6, clean=54, longest_text=20))
+    assert len(cut) == 60 and sum(len(t) for t, _ in cut) <= 1200
+
+
+def test_even_lengths():
+    assert toxicity._even([], 10) == 0 and toxicity._even([3, 4], 10) == 4 and toxicity._even([1, 50, 50], 21) == 10

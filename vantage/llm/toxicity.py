@@ -39,7 +39,7 @@ CACHE = 200_000
 
 @dataclass(frozen=True)
 class Settings:
-    """``toxic`` and ``clean`` bound the training documents, ``longest_text`` their characters. ``landmarks`` bounds the
+    """``toxic`` and ``clean`` bound the training documents, ``longest_text`` their mean length. ``landmarks`` bounds the
     toxic landmarks, which are in ``support`` toxic documents. ``contrast`` weighs clean documents against toxic ones: a
     unit whose share of toxic documents is so many times its share of clean ones speaks for neither."""
 
@@ -386,10 +386,14 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def sample(docs: DataFrame, labels: DataFrame, s: Settings) -> list[tuple[str, int]]:
     """At most ``toxic`` + ``clean`` labelled texts, chosen by hash. A document with contrary labels counts as toxic.
 
-    Labels are chosen first, by a hash threshold set from their counts and then in order of the hash, and only the chosen
-    ones meet the documents: neither step grows with the tables or their tasks."""
+    Labels of documents that are here are chosen first, by a hash threshold set from their counts and then in order of the
+    hash, and only the chosen ones meet the texts: neither step grows with the tables or their tasks. Texts are taken
+    whole unless their sum is over ``longest_text`` times a full sample; then the longest are cut to
+    one length."""
+    docs = docs.where("text is not null and doc_id is not null").select("doc_id", "text")
     known = (labels.where("toxic is not null and doc_id is not null").groupBy("doc_id")
-             .agg(F.max(F.when(F.col("toxic") != 0, 1).otherwise(0)).alias("kind")))
+             .agg(F.max(F.when(F.col("toxic") != 0, 1).otherwise(0)).alias("kind"))
+             .join(docs.select("doc_id"), "doc_id", "left_semi"))
     count = {r.kind: r.n for r in known.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     chance = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) * 2.0 ** -53
     chosen = None
@@ -398,10 +402,21 @@ def sample(docs: DataFrame, labels: DataFrame, s: Settings) -> list[tuple[str, i
                 .orderBy(chance, "doc_id").limit(most))
         chosen = part if chosen is None else chosen.unionByName(part)
     chosen = settle(chosen, "toxicity-sample")
-    rows = (docs.where(F.col("text").isNotNull() & (F.length("text") <= s.longest_text)).select("doc_id", "text")
-            .join(chosen, "doc_id").withColumn("n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
+    rows = (docs.join(chosen, "doc_id").withColumn("n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
             .where("n = 1"))  # a repeated doc_id speaks once
-    return [(r.text, r.kind) for r in rows.orderBy("kind", F.xxhash64("doc_id"), "doc_id").select("text", "kind").collect()]
+    rows = settle(rows.select("doc_id", "kind", "text"), "toxicity-texts")
+    most = _even([r.n for r in rows.select(F.length("text").alias("n")).collect()], (s.toxic + s.clean) * s.longest_text)
+    rows = rows.orderBy("kind", F.xxhash64("doc_id"), "doc_id").select(F.substring("text", 1, most).alias("text"), "kind")
+    return [(r.text, r.kind) for r in rows.collect()]
+
+
+def _even(lengths: list[int], most: int) -> int:
+    """The largest length to which all may be cut so that they have ``most`` in sum; that of the longest if they fit."""
+    for i, n in enumerate(sorted(lengths)):
+        if n * (len(lengths) - i) > most:
+            return most // (len(lengths) - i)
+        most -= n
+    return max(lengths, default=0)
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model | None:
