@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -84,6 +86,19 @@ def settle_in(owner: str) -> None:
         trim(0)
 
 
+@contextlib.contextmanager
+def uncollected():
+    """No garbage collection within: what runs there makes no cycles, and the collector would walk large caches again and
+    again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def batch_udf(make: Callable[[], Callable[..., pa.Array]], returns: str | DataType):
     """An Arrow UDF over one column. ``make()`` runs once per task and gives the function applied to each batch.
 

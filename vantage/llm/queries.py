@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vantage.llm import (bpe, decontamination, fim, langid, licenses, mtree, shard_tree, simhash, token_files, toxicity, tree_bpe,
-                         warc_zip)
+from vantage.llm import (bpe, decontamination, fim, langid, licenses, mtree, shard_tree, simhash, token_alignment, token_files, toxicity,
+                         tree_bpe, warc_zip)
 from vantage.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.report(table(spark, sf_dir, "documents"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.report(table(spark, sf_dir, "documents"))
 
@@ -63,7 +67,7 @@ def op13_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_sharding, op2_simhash_near_dedup, op3_language_id, op4_top_k_search, op5_token_counts, op6_toxicity,
-        op7_license_scan, op8_warc_zip, op9_decontamination, op10_bpe, op12_fill_in_middle, op13_tree_bpe)}
+        op7_license_scan, op8_warc_zip, op9_decontamination, op10_bpe, op11_token_alignment, op12_fill_in_middle, op13_tree_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
