@@ -32,10 +32,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import col, resident, settle_in, ship, slices, tokenizer_path
+from vantage.llm.common import col, resident, settle_in, ship, slices, tokenizer_path, uncollected
 
 #: Pieces, parts of pieces and seams remembered at a time, each kind twice: what was used since the last turn, and before.
-CACHE = 150_000
+CACHE = 250_000
 #: Longest part, in bytes, whose encoding is remembered.
 SHORT = 24
 #: Windows up to this many bytes are merged by scanning, longer ones with a heap.
@@ -156,7 +156,12 @@ class Monoid:
                 i = min(2 * i, len(left))
             if not firm_right:
                 j = min(2 * j, len(right))
-            window = self.merge(b"".join([labels[t] for t in left[-i:] + right[:j]]))
+            data = b"".join([labels[t] for t in left[-i:] + right[:j]])
+            window = self.parts.young.get(data)
+            if window is None and (window := self.parts.get(data)) is None:
+                window = self.merge(data)
+                if len(data) <= SHORT:
+                    self.parts.put(data, window)
 
     def reduce(self, part: bytes) -> list[int]:
         """The encoding of bytes: of their halves, joined. Short parts are remembered."""
@@ -205,20 +210,30 @@ class Monoid:
             return self.piece(chunk)
         return b"".join([known(p) or self.piece(p) for p in pieces])
 
-    def encode(self, text: str | None) -> bytes:
-        """int32 ids of a text (null: none)."""
+    def chunks(self, text: str | None) -> list[str]:
+        """A text cut where matches of the pattern surely end: before each space whose next character is none."""
         if not text:
-            return b""
+            return []
         if not self.spaced:
-            return b"".join([self.piece(p) for p in self.pieces.findall(text)])
+            return self.pieces.findall(text)
         if _LOOSE.search(text) is None and text[-1] != " ":
             first, *rest = text.split(" ")
-            chunks = [first, *[" " + r for r in rest]] if first else [" " + r for r in rest]
-        else:
-            chunks = filter(None, _SPACE.split(text))
-        take = self.chunk
-        known = self.whole.young.get  # entries of a mapping that turns meanwhile are as good
-        return b"".join([known(c) or take(c) for c in chunks])
+            return [first, *[" " + r for r in rest]] if first else [" " + r for r in rest]
+        return [c for c in _SPACE.split(text) if c]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """int32 ids of each text (null: none). A chunk that occurs often is looked up once."""
+        cut = [self.chunks(t) for t in texts]
+        here = dict.fromkeys(c for chunks in cut for c in chunks)
+        take = self.chunk if self.spaced else self.piece
+        known = self.whole.young.get
+        for c in here:
+            here[c] = known(c) or take(c)
+        return [b"".join(map(here.__getitem__, chunks)) for chunks in cut]
+
+    def encode(self, text: str | None) -> bytes:
+        """int32 ids of a text (null: none)."""
+        return self.encode_all([text])[0]
 
     @classmethod
     def from_bytes(cls, content: bytes, pattern: str) -> Monoid:
@@ -260,7 +275,8 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = N
         for batch in batches:
             at = 0
             for part in slices(batch.column(len(keep)), 2 << 20):
-                coded = [bpe.encode(t) for t in part.to_pylist()]
+                with uncollected():
+                    coded = bpe.encode_all(part.to_pylist())
                 ids = np.frombuffer(b"".join(coded), np.int32)
                 ends = np.cumsum([0, *(len(c) // 4 for c in coded)])
                 decoded = pa.array([bpe.spell(ids[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
