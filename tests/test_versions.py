@@ -1,0 +1,306 @@
+"""Overlapping refreshes, day refreshes by reference, snapshots, live views and the log by run."""
+
+import datetime as dt
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import AS_OF, d, money, telemetry, ts
+from vantage.functions.time import AsOf
+from vantage.plans import panels
+from vantage.plans.gold import BUILDERS, Gold
+from vantage.sinks import store, versions
+
+
+@pytest.fixture(scope="module")
+def schema(spark):
+    store.create_schema(spark, "vantage_versions")
+    return "vantage_versions"
+
+
+def held_back(spark, tmp_path, rows):
+    """``rows``, but a task of theirs waits until the file is there."""
+    flag = str(tmp_path / "go")
+
+    @F.udf("long")
+    def wait(x):
+        import os
+        import time
+
+        end = time.time() + 60
+        while not os.path.exists(flag) and time.time() < end:
+            time.sleep(0.05)
+        return x
+
+    return rows.withColumn("id", wait("id")), flag
+
+
+@pytest.mark.parametrize("first_to_begin_is_last_to_end", [True, False])
+def test_two_refreshes_in_flight_both_finish(spark, schema, tmp_path, first_to_begin_is_last_to_end):
+    """A slow refresh outlives several whole ones; its version isn't taken from it, and the later begun rows stay."""
+    table = f"{schema}.Busy_{first_to_begin_is_last_to_end}"  # the catalog's listing is in lower case
+    store.write_table(spark.range(1), table)
+    slow, flag = held_back(spark, tmp_path, spark.range(50, 57).coalesce(1))
+    done = []
+    worker = threading.Thread(target=lambda: done.append(store.write_table(slow, table)))
+    worker.start()
+    while len(store.versions(spark, table)) < 2:
+        time.sleep(0.05)
+    in_flight = store.versions(spark, table)[-1]
+    if first_to_begin_is_last_to_end:
+        for n in (2, 3, 4):
+            store.write_table(spark.range(n), table)
+            assert spark.table(table).count() == n
+        assert in_flight in store.versions(spark, table)
+    open(flag, "w").close()
+    worker.join(90)
+    assert done == [in_flight]
+    assert spark.table(table).count() == (4 if first_to_begin_is_last_to_end else 7)
+    store.write_table(spark.range(5), table)
+    assert spark.table(table).count() == 5 and len(store.versions(spark, table)) == 2
+
+
+def test_only_unclaimed_versions_go(spark, schema):
+    """A version whose writer died stays until its claim has run out."""
+    table = f"{schema}.claimed"
+    store.write_table(spark.range(1), table)
+    dead = f"{table}__v{time.time_ns()}"
+    spark.range(9).write.saveAsTable(dead)
+    store.write_table(spark.range(2), table)
+    assert dead in store.versions(spark, table)  # being created: no claim yet
+    spark.sql(f"ALTER TABLE {dead} SET TBLPROPERTIES ('lease_until' = '{time.time() + 60}')")
+    store.write_table(spark.range(3), table)
+    assert dead in store.versions(spark, table)
+    spark.sql(f"ALTER TABLE {dead} SET TBLPROPERTIES ('lease_until' = '{time.time() - 1}')")
+    store.write_table(spark.range(4), table)
+    assert dead not in store.versions(spark, table) and spark.table(table).count() == 4
+
+
+def test_a_claim_is_renewed_and_given_up(spark, schema, monkeypatch):
+    monkeypatch.setattr(versions, "LEASE", 0.6)
+    name = f"{schema}.renewed__v{time.time_ns()}"
+    spark.range(1).write.saveAsTable(name)
+    with pytest.raises(KeyError), versions.lease(spark, name):
+        time.sleep(1.5)
+        assert versions.leased_until(spark, name) > time.time()
+        raise KeyError
+    assert versions.leased_until(spark, name) == 0
+
+
+def test_locks_exclude_wait_and_outlive_the_dead(spark, schema, monkeypatch):
+    name, inside, most = f"{schema}.some__lock", [], []
+
+    def work():
+        with versions.lock(spark, name):
+            inside.append(1)
+            most.append(len(inside))
+            time.sleep(0.1)
+            inside.pop()
+
+    workers = [threading.Thread(target=work) for _ in range(4)]
+    for w in workers:
+        w.start()
+    for w in workers:
+        w.join(60)
+    assert most == [1] * 4 and versions.properties(spark, name) is None
+    spark.sql(f"CREATE TABLE {name} (owner STRING) USING parquet TBLPROPERTIES ('held_by' = 'x', 'until' = '{time.time() + 60}')")
+    with pytest.raises(TimeoutError), versions.lock(spark, name, patience=0.2):
+        pass
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('until' = '{time.time() - 1}')")
+    with versions.lock(spark, name, patience=0.2):
+        pass
+    assert versions.properties(spark, name) is None
+
+
+def days(spark, found):
+    """(day, x) rows."""
+    return spark.createDataFrame([(d(a), x) for a, x in found], "day date, x int")
+
+
+def shown(spark, table):
+    return sorted((str(r.day), r.x) for r in spark.table(table).collect())
+
+
+def test_days_are_replaced_by_reference(spark, schema):
+    """Only the given days are written; the others are the files they were. A day left without rows is gone."""
+    table = f"{schema}.by_reference"
+    full = store.write_table(days(spark, [("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3)]), table, "c", ["day"])
+    before = {f.split("day=")[1][:10]: f for f in spark.table(table).inputFiles()}
+    part = store.replace_days(days(spark, [("2024-01-02", 20), ("2024-01-04", 40), ("2024-01-09", 90)]), table, "day",
+                              "2024-01-02", "2024-01-04", "c")
+    assert shown(spark, table) == [("2024-01-01", 1), ("2024-01-02", 20), ("2024-01-04", 40)]
+    files = spark.table(table).inputFiles()
+    assert before["2024-01-01"] in files and before["2024-01-02"] not in files and len(files) == 3
+    assert {f.split("day=")[1][:10] for f in spark.table(part).inputFiles()} == {"2024-01-02", "2024-01-04"}
+    plan = spark.table(table).where("day >= '2024-01-04'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "Union" not in plan
+    store.replace_days(days(spark, [("2024-01-02", 21)]), table, "day", "2024-01-02", "2024-01-02")
+    assert shown(spark, table) == [("2024-01-01", 1), ("2024-01-02", 21), ("2024-01-04", 40)]
+    store.replace_days(days(spark, [("2024-01-03", 31)]), table, "day", "2024-01-02", "2024-01-04")
+    assert shown(spark, table) == [("2024-01-01", 1), ("2024-01-03", 31)]
+    assert full in store.versions(spark, table)
+    for x in (5, 6):
+        store.write_table(days(spark, [("2024-01-01", x)]), table, "c", ["day"])
+    assert shown(spark, table) == [("2024-01-01", 6)] and len(store.versions(spark, table)) == 2
+    assert store.versions(spark, table, "p") == []
+
+
+def test_day_refreshes_in_flight_keep_each_others_days(spark, schema, tmp_path):
+    """Two refreshes of different days overlap, and a full one begun before them ends after: no day is lost."""
+    table = f"{schema}.days_in_flight"
+    store.write_table(days(spark, [("2024-01-01", 1), ("2024-01-02", 2)]), table, None, ["day"])
+    flag = str(tmp_path / "go")
+
+    @F.udf("int")
+    def wait(x):
+        import os
+        import time
+
+        end = time.time() + 60
+        while not os.path.exists(flag) and time.time() < end:
+            time.sleep(0.05)
+        return x
+
+    slow = lambda rows: days(spark, rows).coalesce(1).withColumn("x", wait("x"))
+    jobs = [lambda: store.write_table(slow([("2024-01-01", 10), ("2024-01-02", 20), ("2024-01-03", 30)]), table, None, ["day"]),
+            lambda: store.replace_days(slow([("2024-01-02", 200)]), table, "day", "2024-01-02", "2024-01-02")]
+    workers = []
+    for n, job in enumerate(jobs, 2):
+        workers.append(threading.Thread(target=job))
+        workers[-1].start()
+        while len(store.versions(spark, table)) < n:
+            time.sleep(0.05)
+    store.replace_days(days(spark, [("2024-01-03", 300)]), table, "day", "2024-01-03", "2024-01-03")
+    assert shown(spark, table) == [("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 300)]
+    open(flag, "w").close()
+    for w in workers:
+        w.join(90)
+    assert shown(spark, table) == [("2024-01-01", 10), ("2024-01-02", 200), ("2024-01-03", 300)]
+
+
+def test_overlay():
+    full, part = {}, lambda a, b: {"first": a, "last": b}
+    v = lambda n: f"s.t__v{n}"
+    assert store.overlay({v(1): full, v(2): full}) == [v(2)]
+    assert store.overlay({v(3): full, v(1): full, v(2): part("a", "c")}) == [v(3)]
+    assert store.overlay({v(1): full, v(2): part("b", "c"), v(3): part("a", "d"), v(4): part("d", "e")}) == [v(1), v(3), v(4)]
+    assert store.overlay({v(1): part("a", "b")}) == [v(1)]
+
+
+def test_only_given_days_are_priced_and_written(spark):
+    """Late billing end to end, with files: refresh_cost_days leaves the other days' files alone."""
+    store.create_schema(spark, "vantage_late")
+    price = [dict(pricing=((money(2),),))]
+    day = lambda n, q: dict(usage_date=d(f"2024-01-{n}"), usage_end_time=ts(f"2024-01-{n} 11:00:00"), usage_quantity=money(q))
+    t = telemetry(spark, usage=[day(28, 1), day(29, 2)], list_prices=price)
+    store.refresh_summaries(t, "vantage_late", AsOf(AS_OF))
+    table = "vantage_late.gold_cost_daily"
+    old = [f for f in spark.table(table).inputFiles() if "2024-01-28" in f]
+    late = telemetry(spark, usage=[day(28, 50), day(29, 2), day(29, 3)], list_prices=price)
+    store.refresh_cost_days(late, "vantage_late", "2024-01-29", "2024-01-31")
+    assert [f for f in spark.table(table).inputFiles() if "2024-01-28" in f] == old
+    assert sorted((str(r.date), r.total_dbus) for r in spark.table(table).collect()) == [
+        ("2024-01-28", money(1)), ("2024-01-29", money(5))]
+
+
+def test_a_snapshot_is_one_state_of_all_tables(spark, monkeypatch):
+    """While a refresh is half done, and after it, a dashboard that has chosen its snapshot reads what fits together."""
+    store.create_schema(spark, "vantage_snap")
+    price = [dict(pricing=((money(2),),))]
+    one = telemetry(spark, usage=[dict(usage_quantity=money(4))], list_prices=price, clusters=[dict()])
+    two = telemetry(spark, usage=[dict(usage_quantity=money(9))], list_prices=price, clusters=[dict(), dict(cluster_id="c-2")])
+    a = AsOf(AS_OF)
+    store.refresh_summaries(one, "vantage_snap", a)
+    seen = []
+
+    def read(gold):
+        return panels.cost_by_product(one, a, gold).first().cost, panels.cluster_count(one, a, gold, status="IDLE").first().cnt
+
+    build = BUILDERS["gold_user_activity"]  # comes after cost and inventory
+    monkeypatch.setitem(BUILDERS, "gold_user_activity", lambda t, a: (
+        seen.append((read(Gold.from_snapshot(one, "vantage_snap", a)), read(Gold.from_schema(one, "vantage_snap", a)))), build(t, a))[1])
+    chosen = Gold.from_snapshot(one, "vantage_snap", a)
+    store.refresh_summaries(two, "vantage_snap", a)
+    assert seen == [((money(8), 1), (money(18), 2))]
+    assert read(chosen) == (money(8), 1) and read(Gold.from_snapshot(one, "vantage_snap", a)) == (money(18), 2)
+    monkeypatch.undo()
+    store.refresh_cost_days(one, "vantage_snap", "2024-01-30", "2024-01-30")
+    assert read(Gold.from_snapshot(one, "vantage_snap", a)) == (money(8), 2)
+
+
+def _sources(spark, schema, t):
+    """The sources of ``t`` as catalog tables."""
+    from vantage.sources.schemas import SOURCES
+
+    store.create_schema(spark, schema)
+    names = {n: f"{schema}.{n}" for n in SOURCES}
+    for n, table in names.items():
+        t.table(n).write.mode("overwrite").saveAsTable(table)
+    return names
+
+
+def test_live_views_equal_their_plans(spark):
+    """The SQL text of each view against the view's plan, over the whole test tables, at a fixed instant."""
+    from vantage import registry
+    from vantage.sources.telemetry import Telemetry
+
+    names = _sources(spark, "vantage_live_src", registry.telemetry(spark, "/root/testdata/sf0.001"))
+    t, a = Telemetry.from_tables(spark, names), AsOf(AS_OF)
+    store.create_schema(spark, "vantage_live")
+    made = store.create_live_views(t, "vantage_live", names, AS_OF)
+    assert set(made) == {n for n in BUILDERS if n.startswith("v_")}
+    for name, view in made.items():
+        plan = BUILDERS[name](t, a)
+        got = spark.newSession().table(view)
+        assert got.columns == plan.columns, name
+        assert [x.dataType for x in got.schema] == [x.dataType for x in plan.schema], name
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, plan.collect())) and got.count() > 0, name
+
+
+def test_a_second_session_reads_todays_rows_without_a_refresh(spark):
+    from vantage.sources.telemetry import Telemetry
+
+    today = dt.datetime.now().replace(minute=0, second=0, microsecond=0)
+    row = dict(usage_date=today.date(), usage_start_time=today, usage_end_time=today, usage_quantity=money(4))
+    seen = lambda **x: telemetry(spark, usage=[{**row, **x}], list_prices=[dict(pricing=((money(2),),))])
+    names = _sources(spark, "vantage_today_src", seen())
+    store.create_schema(spark, "vantage_today")
+    made = store.create_live_views(Telemetry.from_tables(spark, names), "vantage_today", names)
+    other = spark.newSession()
+    assert "current_date()" in other.sql(f"SHOW CREATE TABLE {made['v_top_cost_drivers']}").first()[0]
+    assert [r.estimated_cost_usd for r in other.table(made["v_top_cost_drivers"]).collect()] == [money(8)]
+    seen(usage_quantity=money(3)).usage.write.insertInto(names["usage"])
+    old = today - dt.timedelta(days=40)
+    seen(usage_date=old.date(), usage_quantity=money(99)).usage.write.insertInto(names["usage"])
+    other = spark.newSession()  # a session remembers the files of a parquet table that it has read
+    assert [r.estimated_cost_usd for r in other.table(made["v_top_cost_drivers"]).collect()] == [money(14)]
+    assert [r.cost_usd for r in other.table(made["v_realtime_burn_rate"]).collect()] == [money(14)]
+
+
+def _log_rows(spark, run, found):
+    return spark.createDataFrame([(ts("2024-01-30 10:00:00"), [n], "1", c, run) for c, n in found],
+                                 "termination_time timestamp, cluster_names array<string>, workspace_id string, cluster_id string, run_id string")
+
+
+def test_a_run_is_logged_in_its_own_partition(spark, schema, tmp_path):
+    """Retries at the same time add nothing, other runs' files stay, and a later part of a run is added to the first."""
+    table = f"{schema}.termination_log"
+    store.append_termination_log(_log_rows(spark, "a", [("c-1", "x"), ("c-2", None)]), table)
+    other = [f for f in spark.table(table).inputFiles() if "run_id=a" in f]
+    rows = _log_rows(spark, "b", [("c-1", "x"), ("c-1", "x"), (None, "y")])
+    workers = [threading.Thread(target=store.append_termination_log, args=(rows, table)) for _ in range(3)]
+    for w in workers:
+        w.start()
+    for w in workers:
+        w.join(90)
+    store.append_termination_log(_log_rows(spark, "b", [("c-1", "renamed"), ("c-9", "z")]), table)
+    spark.catalog.refreshTable(table)
+    assert sorted((r.run_id, r.cluster_id or "", r.cluster_names[0]) for r in spark.table(table).collect()) == [
+        ("a", "c-1", "x"), ("a", "c-2", None), ("b", "", "y"), ("b", "c-1", "x"), ("b", "c-9", "z")]
+    assert [f for f in spark.table(table).inputFiles() if "run_id=a" in f] == other
+    store.append_termination_log(rows.limit(0), table)
+    with pytest.raises(ValueError):
+        store.append_termination_log(rows.unionByName(_log_rows(spark, "c", [("c", "c")])), table)
+    assert spark.table(table).count() == 5

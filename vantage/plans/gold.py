@@ -50,7 +50,17 @@ class Gold:
 
     @classmethod
     def from_schema(cls, t: Telemetry, schema: str, as_of=None) -> "Gold":
+        """What ``schema`` holds now, each table for itself."""
         spark = t.spark
         listing = spark.sql(f"SHOW TABLES IN {schema}").filter("NOT isTemporary")
         have = {r.tableName for r in listing.collect()}  # catalog metadata: a handful of names
         return cls(t, as_of, {n: spark.table(f"{schema}.{n}") for n in BUILDERS if n in have})
+
+    @classmethod
+    def from_snapshot(cls, t: Telemetry, schema: str, as_of=None) -> "Gold":
+        """The states of ``schema``'s tables that were published together. The choice is made here, once for all
+        panels of a dashboard, so they fit each other whatever is refreshed while they are read."""
+        from vantage.sinks.store import snapshot
+
+        held = {table.rpartition(".")[2]: target for table, target in snapshot(t.spark, schema).items()}
+        return cls(t, as_of, {n: t.spark.table(held[n]) for n in BUILDERS if n in held})

@@ -1,8 +1,10 @@
-r"""Scheduled jobs: refresh the summary tables and views, list idle compute, log what was done.
+r"""Scheduled jobs: refresh the summary tables, create the views (live, or their rows stored), list idle compute, log what
+was done.
 
     spark-submit vantage/refresh.py summaries --schema main.observability
     spark-submit vantage/refresh.py cost-days --schema main.observability --days 2024-01-29 2024-01-31
     spark-submit vantage/refresh.py views --schema main.observability
+    spark-submit vantage/refresh.py stored-views --schema main.observability
     spark-submit vantage/refresh.py cleanup --schema main.observability --status ZOMBIE
     spark-submit vantage/refresh.py log --schema main.observability --acted main.observability.acted_on \
         --log-table main.observability.termination_log --run-id 2024-01-31
@@ -22,7 +24,7 @@ from vantage.functions.time import AsOf
 from vantage.plans import actions
 from vantage.plans.gold import Gold
 from vantage.sinks import store
-from vantage.sources.telemetry import Telemetry
+from vantage.sources.telemetry import PLATFORM_TABLES, Telemetry
 
 SCHEMA_COMMENT = "Platform observability: curated summary tables for dashboards"
 
@@ -49,7 +51,7 @@ def log_cleanup(acted: DataFrame, log_table: str, run_id: str, as_of=None) -> No
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="vantage.refresh")
-    p.add_argument("job", choices=["summaries", "cost-days", "views", "cleanup", "log"])
+    p.add_argument("job", choices=["summaries", "cost-days", "views", "stored-views", "cleanup", "log"])
     p.add_argument("--schema", required=True)
     p.add_argument("--as-of", default=None)
     p.add_argument("--source", action="append", default=[], help="name=table override")
@@ -62,7 +64,8 @@ def main(argv: list[str] | None = None) -> int:
     from vantage.session import build_session
 
     spark = build_session()
-    t = Telemetry.from_tables(spark, dict(s.split("=", 1) for s in args.source))
+    sources = {**PLATFORM_TABLES, **dict(s.split("=", 1) for s in args.source)}
+    t = Telemetry.from_tables(spark, sources)
     if args.job == "summaries":
         for name, table in refresh(spark, t, args.schema, args.as_of).items():
             print(f"{name} -> {table}")
@@ -70,9 +73,11 @@ def main(argv: list[str] | None = None) -> int:
         if not args.days:
             p.error("cost-days needs --days")
         print(store.refresh_cost_days(t, args.schema, *args.days))
-    elif args.job == "views":
+    elif args.job in ("views", "stored-views"):
         store.create_schema(spark, args.schema, SCHEMA_COMMENT)
-        for name, table in store.refresh_views(t, args.schema, args.as_of).items():
+        made = (store.create_live_views(t, args.schema, sources, args.as_of) if args.job == "views"
+                else store.refresh_views(t, args.schema, args.as_of))
+        for name, table in made.items():
             print(f"{name} -> {table}")
     elif args.job == "cleanup":
         store.create_schema(spark, args.schema, SCHEMA_COMMENT)
