@@ -52,3 +52,33 @@ def test_delete_bursts_equal_batch(spark):
     batch = views.destructive_bursts(everything, AsOf("2024-02-01"), min_ops=0)
     got = stored.select("workspace_id", "user_email", "event_time", F.concat("n", F.lit(" delete operations in 1 hour")).alias("detail"))
     assert _rows(got) == _rows(batch.select("workspace_id", "user_email", "event_time", "detail")) and batch.count() > 0
+
+
+def test_a_batch_reads_and_writes_its_days_only(spark):
+    """Source partitions of other days are pruned, other days' results stay as files, and a day without rows is emptied."""
+    t = registry.telemetry(spark, SF)
+    root = tempfile.mkdtemp(prefix="vantage-stream-")
+    early, late = t.usage.where("usage_date = '2024-01-05'"), t.usage.where("usage_date = '2024-01-20'")
+    source = lambda: spark.read.schema(t.usage.schema).parquet(f"{root}/usage")
+    plans = []
+
+    def build(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return S.hourly_cost(rows, t.list_prices)
+
+    for part in (early, late):
+        part.coalesce(1).write.mode("append").partitionBy("usage_date").parquet(f"{root}/usage")
+        part.coalesce(1).write.mode("append").parquet(f"{root}/arrivals")
+        S.keep_current(S.read_stream(spark, f"{root}/arrivals", t.usage.schema), source, "usage_start_time", build,
+                       f"{root}/hourly", f"{root}/ckpt", day_col="usage_date").awaitTermination(300)
+        if part is early:
+            first = spark.read.parquet(f"{root}/hourly").inputFiles()
+    assert all("PartitionFilters: [" in p and "2024-01" in p.split("PartitionFilters: [")[1].split("]")[0] for p in plans)
+    stored = spark.read.parquet(f"{root}/hourly")
+    assert set(first) < set(stored.inputFiles())
+    assert _rows(stored.select("day", "hour", "cost_usd")) == _rows(S.hourly_cost(early.unionByName(late), t.list_prices))
+    late.coalesce(1).write.mode("append").parquet(f"{root}/arrivals")
+    S.keep_current(S.read_stream(spark, f"{root}/arrivals", t.usage.schema), lambda: early, "usage_start_time", build,
+                   f"{root}/hourly", f"{root}/ckpt", day_col="usage_date").awaitTermination(300)
+    stored = spark.read.parquet(f"{root}/hourly")
+    assert _rows(stored.select("day", "hour", "cost_usd")) == _rows(S.hourly_cost(early, t.list_prices))

@@ -7,13 +7,14 @@ A usage row ending exactly at a version's start is in that version; one ending
 exactly at its end is in the next. Overlapping versions multiply a usage row
 (``price_overlaps`` reports them).
 
-Physical plan, the same for every size: an equi-join on (``sku_name``, slot)
-with the interval as residual condition. A slot is a hash of the usage end time
-over ``SLOTS`` values, and every price row exists once per slot. So a SKU that
-holds a third of all usage is spread over ``SLOTS`` keys if the join shuffles
-(AQE's skew split divides them further), and Spark broadcasts the price list by
-its own byte estimate if that allows. Usage is scanned once and nothing runs
-while the plan is built.
+Physical plan, the same for every size: one equi-join on ``sku_name`` with the
+interval as residual condition. A SKU's versions are few, so a usage row is
+compared with few price rows. Each price row is there once, so what Spark compares
+with its broadcast threshold is the price list's own size (``session.DEFAULT_CONF``
+counts a file's bytes three times, for what decoding adds). Beyond the threshold
+both sides are shuffled by SKU, and AQE splits the partition of a SKU that holds a
+third of all usage into parts, each of which meets that SKU's few prices. Usage is
+scanned once and nothing runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -23,8 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 PRICE_COLUMN = "pricing.effective_list.default"
-#: Parts that the usage of one SKU is dealt into; also how often a price row is repeated.
-SLOTS = 16
 
 
 def flat_prices(prices: DataFrame) -> DataFrame:
@@ -43,12 +42,9 @@ def price_usage(usage: DataFrame, prices: DataFrame, how: str = "left", money: s
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    slot = F.pmod(F.hash("usage_end_time"), F.lit(SLOTS))
-    u = usage.withColumn("_price_slot", slot).alias("u")
-    p = flat_prices(prices).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1)))).alias("p")
+    u, p = usage.alias("u"), flat_prices(prices).alias("p")
     end_time = F.col("u.usage_end_time")
-    valid = ((F.col("u.sku_name") == F.col("p.sku_name")) & (F.col("u._price_slot") == F.col("p.slot"))
-             & (end_time >= F.col("p.price_start_time"))
+    valid = ((F.col("u.sku_name") == F.col("p.sku_name")) & (end_time >= F.col("p.price_start_time"))
              & (F.col("p.price_end_time").isNull() | (end_time < F.col("p.price_end_time"))))
     quantity, price = F.col("u.usage_quantity"), F.col("p.list_price")
     if money:

@@ -41,7 +41,10 @@ SOURCE_SQL = {
     "clusters": """select concat('c-',cast(s_suppkey as string)) cluster_id, cast(s_suppkey%5 as string) workspace_id, concat(s_name,'_v',cast(r_regionkey as string)) cluster_name,
  case when s_suppkey%3<>0 then concat('user',cast(s_suppkey%150 as string),'@example.com') end owned_by, case when s_suppkey%2=0 then 'UI' else 'JOB' end cluster_source,
  TIMESTAMP '2023-12-01 00:00:00' + INTERVAL '1' DAY * cast(r_regionkey*10 as int) change_time,
- case s_suppkey % 3 when 0 then 'TERMINATED' else 'RUNNING' end AS state from supplier cross join region""",
+ case s_suppkey % 3 when 0 then 'TERMINATED' else 'RUNNING' end AS state, concat('driver-', cast((s_suppkey+r_regionkey)%4 as string)) driver_node_type_id,
+ case when (s_suppkey+r_regionkey)%7<>0 then concat('worker-', cast((s_suppkey+r_regionkey)%5 as string)) end node_type_id,
+ case when s_suppkey%2=0 then concat('{"min_workers":', (s_suppkey+r_regionkey)%3+1, ',"max_workers":', (s_suppkey+r_regionkey)%9+4, '}') end autoscale,
+ case when s_suppkey%2=1 then cast((s_suppkey+r_regionkey)%8 as int) end num_workers from supplier cross join region""",
     "jobs": """select cast(c_custkey%5 as string) workspace_id, c_custkey job_id, concat(c_name,'_v',cast(r_regionkey as string)) name, concat('user',cast(c_custkey%150 as string),'@example.com') creator_user_name,
  TIMESTAMP '2023-06-01 00:00:00' + INTERVAL '1' DAY * cast(r_regionkey*10 as int) change_time from customer cross join region where c_custkey%10<>9""",
     "job_run_timeline": """select cast(o_custkey%5 as string) workspace_id, o_custkey job_id, o_orderkey run_id,

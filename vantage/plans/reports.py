@@ -35,13 +35,25 @@ def week_over_week(t: Telemetry, as_of=None) -> DataFrame:
 
 
 def monthly_governance(t: Telemetry, as_of=None, months: int = 6) -> DataFrame:
-    """R2: distinct permission, destructive and IP-denial events and active users per month."""
+    """R2: distinct permission, destructive and IP-denial events and active users per month.
+
+    Duplicates go first, then everything is a sum. One row per (month, event) knows
+    which rules any of its copies meets and which users it names (one, as a rule);
+    its flags count with the first of them. One row per (month, user) adds up flags;
+    a month adds up its users. Each step groups on more keys than a month has tasks
+    for, with partial aggregation, and no row is multiplied per distinct count.
+    """
     a = AsOf.of(as_of)
     action = col("action_name")
-    eid = col("event_id")
-    return (t.audit.filter(col("event_date") >= a.months_ago(months))
-            .groupBy(F.trunc("event_date", "MM").alias("month"))
-            .agg(F.countDistinct(F.when(action.like(PERMISSION_LIKE), eid)).alias("permission_events"),
-                 F.countDistinct(F.when(action.like(DESTRUCTIVE_LIKE), eid)).alias("destructive_events"),
-                 F.countDistinct(col("user_identity.email")).alias("active_users"),
-                 F.countDistinct(F.when(action == "IpAccessDenied", eid)).alias("ip_denials")))
+    rules = {"permission_events": action.like(PERMISSION_LIKE), "destructive_events": action.like(DESTRUCTIVE_LIKE),
+             "ip_denials": action == IP_DENIED_ACTION}
+    month = F.trunc("event_date", "MM").alias("month")
+    events = (t.audit.filter(col("event_date") >= a.months_ago(months)).groupBy(month, "event_id")
+              .agg(*(F.max(rule.cast("int")).alias(n) for n, rule in rules.items()),
+                   F.collect_set("user_identity.email").alias("_users")))
+    counts = lambda n: F.when((F.coalesce(col("_place"), F.lit(0)) == 0) & col("event_id").isNotNull(), col(n))
+    users = (events.select("month", "event_id", *rules, F.posexplode_outer("_users").alias("_place", "_user"))
+             .groupBy("month", "_user").agg(*(F.sum(counts(n)).alias(n) for n in rules)))
+    return users.groupBy("month").agg(
+        *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in rules), F.count("_user").alias("active_users")).select(
+            "month", "permission_events", "destructive_events", "active_users", "ip_denials")

@@ -8,6 +8,7 @@ become wall-clock timestamps, decimals become doubles).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -28,15 +29,16 @@ class Query:
     plan: PlanFn
     oracle: str | None
     doc: str = ""
+    before: Callable[[Telemetry, AsOf], None] | None = None  # a scheduled step that the query reads the result of
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, plan: PlanFn, oracle: str | None, doc: str = "") -> None:
+def register(name: str, plan: PlanFn, oracle: str | None, doc: str = "", before: Callable | None = None) -> None:
     if name in REGISTRY:
         raise ValueError(f"duplicate query {name}")
-    REGISTRY[name] = Query(name, plan, oracle, doc)
+    REGISTRY[name] = Query(name, plan, oracle, doc, before)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -60,13 +62,21 @@ def telemetry(spark: SparkSession, sf_dir: str) -> Telemetry:
     sf_dir = str(sf_dir)
     key = (f"{spark.sparkContext.applicationId}/{spark._jsparkSession.sessionUUID()}", sf_dir.rstrip("/"))
     if key not in _TELEMETRY:
-        _TELEMETRY[key] = Telemetry.from_testdata(spark, sf_dir)
+        _TELEMETRY[key] = Telemetry.from_testdata(spark, sf_dir, name=uuid.uuid4().hex[:12])
     return _TELEMETRY[key]
 
 
 def run(spark: SparkSession, sf_dir: str, name: str, as_of: str = AS_OF) -> DataFrame:
     _load()
-    return comparable(REGISTRY[name].plan(telemetry(spark, sf_dir), AsOf(as_of)))
+    t, a, query = telemetry(spark, sf_dir), AsOf(as_of), REGISTRY[name]
+    prepare(query, t, a)
+    return comparable(query.plan(t, a))
+
+
+def prepare(query: Query, t: Telemetry, as_of: AsOf) -> None:
+    """Run the scheduled step that ``query`` builds on, once per Telemetry and instant."""
+    if query.before is not None:
+        t.memo((query.before, as_of), lambda: query.before(t, as_of))
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

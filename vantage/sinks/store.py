@@ -41,11 +41,13 @@ def _ident(name: str) -> str:
     return name
 
 
-def create_schema(spark: SparkSession, schema: str, comment: str | None = None) -> None:
-    """K4: ``CREATE SCHEMA IF NOT EXISTS ... COMMENT ...``."""
+def create_schema(spark: SparkSession, schema: str, comment: str | None = None, location: str | None = None) -> None:
+    """K4: ``CREATE SCHEMA IF NOT EXISTS ... COMMENT ... LOCATION ...``."""
     sql = f"CREATE SCHEMA IF NOT EXISTS {_ident(schema)}"
     if comment:
         sql += " COMMENT " + _quote(comment)
+    if location:
+        sql += " LOCATION " + _quote(location)
     spark.sql(sql)
 
 

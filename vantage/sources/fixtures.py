@@ -132,8 +132,14 @@ def clusters(raw: Callable[[str], DataFrame], with_state: bool = True) -> DataFr
         F.when(key % 2 == 0, "UI").otherwise("JOB").alias("cluster_source"),
         _after("2023-12-01 00:00:00", days=c("r_regionkey") * 10).alias("change_time"),
     ]
-    if with_state:
-        cols.append(F.when(key % 3 == 0, "TERMINATED").otherwise("RUNNING").alias("state"))
+    if with_state:  # what G3b reads beyond G3: sizes are fixed for odd keys and a range for even ones
+        own = key + c("r_regionkey")
+        cols += [F.when(key % 3 == 0, "TERMINATED").otherwise("RUNNING").alias("state"),
+                 F.concat(F.lit("driver-"), _s(own % 4)).alias("driver_node_type_id"),
+                 F.when(own % 7 != 0, F.concat(F.lit("worker-"), _s(own % 5))).alias("node_type_id"),
+                 F.when(key % 2 == 0, F.struct((own % 3 + 1).cast("int").alias("min_workers"), (own % 9 + 4).cast("int").alias("max_workers")))
+                 .alias("autoscale"),
+                 F.when(key % 2 == 1, (own % 8).cast("int")).alias("num_workers")]
     return _versions(raw, "supplier").select(*cols)
 
 

@@ -31,11 +31,12 @@ class Telemetry:
     ``loaders`` maps a source name to a zero-argument function returning its
     DataFrame; each is called at most once. Nothing is read until a query
     is executed. ``money`` is the decimal type that costs are computed in
-    (see ``operators.pricing``).
+    (see ``operators.pricing``); ``name`` tells sets of sources apart where their
+    summaries are saved.
     """
 
     def __init__(self, spark: SparkSession, loaders: Mapping[str, Callable[[], DataFrame]],
-                 money: str | None = None):
+                 money: str | None = None, name: str = "default"):
         unknown = set(loaders) - set(SOURCES) - set(EXTRA_TABLES)
         if unknown:
             raise ValueError(f"unknown sources: {sorted(unknown)}")
@@ -44,6 +45,7 @@ class Telemetry:
         self._frames: dict[str, DataFrame] = {}
         self._derived: dict[object, object] = {}
         self.money = money
+        self.name = name
 
     # -- construction -----------------------------------------------------
     @classmethod
