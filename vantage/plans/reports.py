@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,23 +40,23 @@ def week_over_week(t: Telemetry, as_of=None) -> DataFrame:
 def monthly_governance(t: Telemetry, as_of=None, months: int = 6) -> DataFrame:
     """R2: distinct permission, destructive and IP-denial events and active users per month.
 
-    Duplicates go first, then everything is a sum. One row per (month, event) knows
-    which rules any of its copies meets and which users it names (one, as a rule);
-    its flags count with the first of them. One row per (month, user) adds up flags;
-    a month adds up its users. Each step groups on more keys than a month has tasks
-    for, with partial aggregation, and no row is multiplied per distinct count.
+    Duplicates go first, then everything is a sum. Events that meet no rule are left
+    out by the scan; of the others there is one row per (month, event), which knows
+    the rules that any of its copies meets. Users are one row per (month, user),
+    which every task brings down to the users it has seen. So no row is multiplied
+    per distinct count, and all aggregates are hash aggregates of fixed width.
     """
     a = AsOf.of(as_of)
     action = col("action_name")
     rules = {"permission_events": action.like(PERMISSION_LIKE), "destructive_events": action.like(DESTRUCTIVE_LIKE),
              "ip_denials": action == IP_DENIED_ACTION}
     month = F.trunc("event_date", "MM").alias("month")
-    events = (t.audit.filter(col("event_date") >= a.months_ago(months)).groupBy(month, "event_id")
-              .agg(*(F.max(rule.cast("int")).alias(n) for n, rule in rules.items()),
-                   F.collect_set("user_identity.email").alias("_users")))
-    counts = lambda n: F.when((F.coalesce(col("_place"), F.lit(0)) == 0) & col("event_id").isNotNull(), col(n))
-    users = (events.select("month", "event_id", *rules, F.posexplode_outer("_users").alias("_place", "_user"))
-             .groupBy("month", "_user").agg(*(F.sum(counts(n)).alias(n) for n in rules)))
-    return users.groupBy("month").agg(
-        *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in rules), F.count("_user").alias("active_users")).select(
-            "month", "permission_events", "destructive_events", "active_users", "ip_denials")
+    recent = t.audit.filter(col("event_date") >= a.months_ago(months))
+    met = reduce(or_, rules.values())
+    events = (recent.filter(met & col("event_id").isNotNull()).groupBy(month, "event_id")
+              .agg(*(F.max(rule.cast("int")).alias(n) for n, rule in rules.items())))
+    users = recent.groupBy(month, col("user_identity.email").alias("user")).agg(F.lit(1).alias("seen"))
+    counts = users.select("month", F.when(col("user").isNotNull(), 1).otherwise(0).alias("active_users")).unionByName(
+        events.drop("event_id"), allowMissingColumns=True)
+    return counts.groupBy("month").agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in (
+        "permission_events", "destructive_events", "active_users", "ip_denials")))
