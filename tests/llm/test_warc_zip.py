@@ -111,3 +111,17 @@ def test_revisit_headers():
     got = record(1, "u", b"p" * 2000, "revisit", 9)
     assert b"WARC-Refers-To: " + warc_zip.record_id(9, hashlib.sha1(b"p" * 2000).hexdigest()).encode() in got
     assert len(got) < 1000 and parse(got)["payload_bytes"] == 2000
+
+
+def test_many_archives_are_read_by_many_tasks(spark):
+    """Adaptive execution may not merge the list of archives into one task, and no page without a partner meets another."""
+    from pyspark.sql import functions as F
+
+    pages = spark.range(0, 3000, 1, 40).selectExpr("id AS page_id", "concat('u', id) AS url", "repeat('x', int(id % 40)) AS html")
+    archives = warc_zip.write(warc_zip.labelled(pages).repartition(60), fresh_path(spark, "many"), archive_bytes=1)
+    assert archives.count() > 1000
+    got = warc_zip.read(archives).withColumn("task", F.spark_partition_id())
+    assert got.count() == 3000
+    assert got.select("task").distinct().count() >= spark.sparkContext.defaultParallelism
+    plan = warc_zip.labelled(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert "small " in plan

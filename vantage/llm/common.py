@@ -52,6 +52,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(files: DataFrame, pieces: int, total_bytes: int, bytes_each: int = 64 << 20) -> int:
+    """How many tasks should read that much: a task per ``bytes_each``, at least one per core, none without a piece.
+
+    Given to ``repartition`` as a number, which adaptive execution leaves alone; of a list of paths it would make one task,
+    since it goes by the size of the list."""
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(pieces, max(cores, -(-total_bytes // bytes_each))))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, with underscores appended until no column of ``df`` has that name (case ignored)."""
     taken = {c.lower() for c in df.columns}

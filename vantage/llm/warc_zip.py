@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import filesystem, fresh_path, publish, settle, ship, task_name
+from vantage.llm.common import filesystem, fresh_path, publish, settle, ship, task_name, tasks_for
 
 # Fixed values of the formats.
 END, LOCATOR, END64, CENTRAL, LOCAL = b"PK\5\6", b"PK\6\7", b"PK\6\6", b"PK\1\2", b"PK\3\4"
@@ -194,7 +194,9 @@ def labelled(pages: DataFrame, least: int = 1000) -> DataFrame:
                                                                    F.count(F.lit(1)).alias("n"))
     twice = settle(groups.where("n > 1").select("digest", "best"), "repeated-payloads")
     again = F.col("best").isNotNull() & ~F.col("best").eqNullSafe(F.col("page_id"))
-    return rows.join(twice, "digest", "left").select(
+    # small pages have no partner; each gets a key of its own, so that they aren't dealt to one task
+    keyed = rows.withColumn("digest", F.coalesce("digest", F.concat(F.lit("small "), F.xxhash64("page_id", "url", "html").cast("string"))))
+    return keyed.join(twice, "digest", "left").select(
         "page_id", "url", "html", F.when(again, "revisit").otherwise("response").alias("record_type"),
         F.when(again, F.col("best")).alias("refers_to"))
 
@@ -239,8 +241,11 @@ def write(pages: DataFrame, root: str, archive_bytes: int = 256 << 20) -> DataFr
 
 def read(archives: DataFrame, payload: bool = False) -> DataFrame:
     """All records of (path, bytes) archives: page_id, url, payload_bytes, payload_digest, record_type, refers_to, and
-    with ``payload`` the response's bytes (null for revisits). Archives are dealt out over tasks by path."""
+    with ``payload`` the response's bytes (null for revisits). Archives are dealt out by path over as many tasks as their
+    bytes ask for."""
     ship(archives.sparkSession)
+    total = archives.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    tasks = tasks_for(archives, total.n, total.bytes)
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", *["payload"] * payload]
     types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), *[pa.binary()] * payload]
 
@@ -259,7 +264,7 @@ def read(archives: DataFrame, payload: bool = False) -> DataFrame:
                     yield _batch(held, names, types)
 
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return archives.select("path", "bytes").repartition("path").mapInArrow(run, schema + ", payload binary" * payload)
+    return archives.select("path", "bytes").repartition(tasks, "path").mapInArrow(run, schema + ", payload binary" * payload)
 
 
 def _batch(rows: list[dict], names: list[str], types: list) -> pa.RecordBatch:
