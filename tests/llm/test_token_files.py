@@ -73,3 +73,17 @@ def test_a_repeated_write_replaces_its_files(spark, docs):
     again = token_files.write(docs, root)
     assert sorted(map(tuple, first.collect())) == sorted(map(tuple, again.collect()))
     assert token_files.scan(token_files.files(spark, root)).count() == docs.count()
+
+
+def test_many_files_are_scanned_by_many_tasks(spark, tmp_path):
+    import numpy as np
+
+    for i in range(40):
+        np.array([1, 2, 50256] * 100, np.uint16).tofile(tmp_path / f"f{i}.bin")
+    found = token_files.files(spark, str(tmp_path))
+    blocks = token_files.scan(found, block_bytes=60)
+    assert blocks.count() == 4000
+    from vantage.llm.common import tasks_for
+
+    assert tasks_for(found, 400, 24_000) == spark.sparkContext.defaultParallelism
+    assert tasks_for(found, 3, 24_000) == 3 and tasks_for(found, 10 ** 6, 10 ** 12) == -(-10 ** 12 // (64 << 20)) and tasks_for(found, 0, 0) == 1

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vantage.llm.common import filesystem, fresh_path, publish, settle, settle_in, ship, task_name, tokenizer_path
+from vantage.llm.common import filesystem, fresh_path, publish, settle, settle_in, ship, task_name, tasks_for, tokenizer_path
 
 WIDTHS = {"uint16": 2, "uint32": 4}
 
@@ -94,12 +94,15 @@ def scan(token_files: DataFrame, separator: int = 50256, dtype: str = "uint16",
     if block_bytes % width:
         raise ValueError("a block holds whole tokens")
     ship(token_files.sparkSession)
+    found = token_files.agg(F.coalesce(F.sum(F.ceil(F.col("bytes") / block_bytes)), F.lit(0)).cast("long").alias("blocks"),
+                            F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    tasks = tasks_for(token_files, found.blocks, found.bytes)
     bad = F.raise_error(F.concat(F.lit("not a multiple of the token width: "), "path"))
     blocks = (token_files.where("bytes > 0")
               .withColumn("bytes", F.when(F.col("bytes") % width == 0, F.col("bytes")).otherwise(bad.cast("long")))
               .select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1,
                                                             F.lit(block_bytes).cast("long"))).alias("start"))
-              .repartition("path", "start"))
+              .repartition(tasks, "path", "start"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
