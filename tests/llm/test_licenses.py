@@ -75,3 +75,33 @@ def test_edges(spark):
     assert [(got[i].n_words, got[i].n_base, got[i].first_word, got[i].labels) for i in (1, 2, 3, 6)] == [(0, 0, None, "")] * 4
     assert got[8].n_words == 40_000 and licenses.report(edge_docs(spark)).count() == 9
     assert licenses.report(edge_docs(spark).limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("identifier, label", [
+    ("MIT", "mit"), ("MIT-0", "mit"), ("mittens-license", "mittens-license"), ("MITRE", "mitre"), ("iscsi", "iscsi"), ("ISC", "isc"),
+    ("GPL-3.0-or-later", "gpl"), ("GPLv3", "gpl"), ("gpl3", "gpl"), ("gplversion", "gplversion"), ("LGPL-2.1+", "lgpl"),
+    ("Apache-2.0", "apache-2"), ("apache-20", "apache-2"), ("BSD-3-Clause-Clear", "bsd-3-clause"), ("MPL-2.0", "mpl")])
+def test_a_family_name_ends_where_it_should(identifier, label):
+    assert licenses.label(identifier) == label
+    assert evaluate(identifier).allowed == (label in licenses.PERMISSIVE)
+
+
+def test_many_tags_cost_in_proportion():
+    """In lines of their own and all in one line; a tag's expression is what was read, not the rest of the line."""
+    import time
+
+    tag = "SPDX-License-Identifier: MIT OR GPL-2.0-only"
+    for between in ("\n", " ; "):
+        spent = []
+        for n in (10_000, 80_000):
+            text = between.join([tag] * n).encode()
+            began = time.process_time()
+            got = scan_text(text)["expressions"]
+            spent.append(time.process_time() - began)
+            assert len(got) == n and all(e["text"] == "MIT OR GPL-2.0-only" for e in got)
+        assert spent[1] < 25 * spent[0] + 0.5
+
+
+def test_usual_notices():
+    text = "Permission is hereby granted, free of charge ... Redistribution and use in source and binary forms. CC BY-SA 4.0"
+    assert {n["label"] for n in scan_text(text.encode())["notices"]} == {"mit", "bsd", "cc-by-sa"}

@@ -27,6 +27,10 @@ NOTICES = {
     "gnu affero general public license": "agpl", "mozilla public license": "mpl", "bsd 3 clause license": "bsd-3-clause",
     "bsd 2 clause license": "bsd-2-clause", "creative commons attribution noncommercial": "cc-by-nc",
     "isc license": "isc", "released into the public domain": "public-domain", "all rights reserved": "proprietary",
+    "permission is hereby granted free of charge": "mit", "licensed under the apache license": "apache-2",
+    "redistribution and use in source and binary forms": "bsd", "creative commons attribution sharealike": "cc-by-sa",
+    "cc by sa": "cc-by-sa", "eclipse public license": "epl", "boost software license": "bsl-1", "gnu gpl": "gpl",
+    "gnu lgpl": "lgpl", "the unlicense": "unlicense", "zlib license": "zlib", "under the bsd license": "bsd",
 }
 TAGS = ("spdx-license-identifier:",)
 #: Identifier prefixes and their labels, the longest that fits wins.
@@ -35,6 +39,8 @@ FAMILIES = {"mit": "mit", "apache-2": "apache-2", "cc-by-nc": "cc-by-nc", "agpl"
 PERMISSIVE = frozenset({"mit", "apache-2", "bsd-2-clause", "bsd-3-clause", "isc", "public-domain"})
 RANK = {"or": 1, "and": 2, "with": 3}
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*")
+_BLANK = re.compile(r"[ \t]*")
+_ENDS = re.compile(r"(?!\w)|(?=v?[0-9])")
 
 
 @dataclass(frozen=True)
@@ -46,19 +52,28 @@ class Expression:
 
 
 def label(identifier: str) -> str:
+    """The label of an identifier: its family's, if the family's name ends where the identifier does or before anything but
+    a letter (``gpl-3.0``, ``gplv3``; not ``mittens`` or ``iscsi``); else the identifier in lower case."""
     name = identifier.lower()
-    fit = max((p for p in FAMILIES if name.startswith(p)), key=len, default=None)
+    fit = max((p for p in FAMILIES if name.startswith(p) and _ENDS.match(name, len(p))), key=len, default=None)
     return FAMILIES[fit] if fit else name
 
 
 def postfix(text: str) -> list[str] | None:
-    """The expression at the start of ``text`` in postfix order by two stacks; None if it has none or is broken.
+    """The expression at the start of ``text`` in postfix order; None if it has none or is broken."""
+    parsed = parse(text)
+    return None if parsed is None else parsed[0]
+
+
+def parse(text: str, at: int = 0) -> tuple[list[str], int] | None:
+    """The expression at place ``at`` of ``text`` in postfix order by two stacks, and where it ends; None if there is none
+    or it is broken.
 
     Two identifiers in a row end it, and so do a closing parenthesis too many and any other character."""
     output: list[str] = []
     waiting: list[str] = []
     operand = False  # whether the last token was one
-    at = 0
+    end = at
     while m := _TOKEN.match(text, at):
         token, word = m[0], m[0].lower()
         if word in RANK:
@@ -85,19 +100,22 @@ def postfix(text: str) -> list[str] | None:
                 break
             output.append(token)
             operand = True
-        at = m.end()
+        at = end = m.end()
         while at < len(text) and text[at] in " \t":
             at += 1
     if not operand or "(" in waiting:
         return None
-    return output + waiting[::-1]
+    return output + waiting[::-1], end
 
 
 def evaluate(text: str, policy: frozenset[str] = PERMISSIVE) -> Expression | None:
     """``or`` needs one side, ``and`` both; ``with`` keeps the licence's verdict and adds no label of its own."""
     order = postfix(text)
-    if order is None:
-        return None
+    return None if order is None else verdict(order, policy)
+
+
+def verdict(order: list[str], policy: frozenset[str] = PERMISSIVE) -> Expression:
+    """What an expression in postfix order says."""
     stack: list[Expression] = []
     for token in order:
         if token in RANK:
@@ -146,10 +164,10 @@ def scan_text(text: bytes | None, policy: frozenset[str] = PERMISSIVE) -> dict:
     if any(t.encode() in low for t in TAGS):  # cheap; the automaton says where
         shown = text.decode()
         for end, _ in tags.iter(low.decode()):  # A-Z only are lowered, so places agree
-            rest = shown[end + 1:]
-            found = rest.split("\n", 1)[0].lstrip(" \t")
-            if (e := evaluate(found, policy)) is not None:
-                expressions.append({"text": found, "labels": sorted(e.labels), "allowed": e.allowed})
+            start = _BLANK.match(shown, end + 1).end()  # an expression has no line feed: it is read in place
+            if (parsed := parse(shown, start)) is not None:
+                e = verdict(parsed[0], policy)
+                expressions.append({"text": shown[start:parsed[1]], "labels": sorted(e.labels), "allowed": e.allowed})
     return {"n_words": len(words), "base": base, "notices": notices, "expressions": expressions}
 
 
@@ -163,7 +181,8 @@ SCAN = ("n_words long, base array<struct<word: long, label: string>>, notices ar
 
 def scan(docs: DataFrame, out: str = "licences", policy: frozenset[str] = PERMISSIVE) -> DataFrame:
     """``docs`` with a struct column ``out`` as of ``scan_text``. A null text counts as empty: no words, no labels.
-    A tag without a sound expression adds nothing."""
+    A tag without a sound expression adds nothing. Repeated rows are scanned alike, an empty table gives none, and a text's
+    length or number of tags costs in proportion."""
 
     def make():
         return lambda batch: pa.array([scan_text(t, policy) for t in raw(batch)], _TYPE)
