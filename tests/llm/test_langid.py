@@ -94,3 +94,32 @@ def test_accepted_keeps_rows_and_columns(spark):
 def test_sample_is_bounded(spark, docs):
     rows = langid.sample(docs, Settings(rows_per_language=5, excerpt=100))
     assert len(rows) <= 20 and all(len(t) <= 100 for _, t in rows)
+
+
+def test_accepted_goes_by_the_network(spark, docs):
+    """What stays is what the network says, language by language and score by score."""
+    settings = Settings(epochs=2)
+    net = langid.train(docs.where(~langid.held_out(4, 2)), settings)
+    said = {r.doc_id: r.language for r in langid.identify(docs.select("doc_id", "text"), net).collect()}
+    ids = lambda kept: {r.doc_id for r in kept.select("doc_id").collect()}
+    chance = langid.OVER_CHANCE / len(net.languages)
+    assert ids(langid.accepted(docs, settings)) == {d for d, x in said.items() if x.lang_pred != "und" and x.score >= chance}
+    scores = sorted(x.score for x in said.values())
+    least = scores[len(scores) // 2]
+    two = net.languages[:2]
+    assert ids(langid.accepted(docs, settings, two, least)) == {d for d, x in said.items() if x.lang_pred in two and x.score >= least}
+    assert 0 < langid.accepted(docs, settings, two, least).count() < docs.count()
+
+
+def test_accepted_without_a_labelled_row(spark):
+    """Nothing can be judged, so texts with a letter stay; none is in a language that is asked for."""
+    rows = spark.createDataFrame([(1, "plain English words", None), (2, "des mots", None), (3, "123 ...", None), (4, None, None)],
+                                 "doc_id long, text string, lang string")
+    assert {r.doc_id for r in langid.accepted(rows).collect()} == {1, 2}
+    assert langid.accepted(rows, languages=["en"]).count() == 0
+
+
+def test_labels_learned_are_bounded(spark):
+    rows = spark.createDataFrame([(i, f"text of label {i % 7} here", f"l{i % 7}") for i in range(60)], "doc_id long, text string, lang string")
+    found = langid.sample(rows, Settings(languages=3))
+    assert {lang for lang, _ in found} == {"l0", "l1", "l2"}

@@ -37,7 +37,11 @@ def test_pipeline_against_plain_python(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     benchmark = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     rows = {r.doc_id: r for r in docs.collect()}
-    kept = {d for d, r in rows.items() if langid.has_letter(r.text.encode())}
+    net = langid.train(docs.where(~langid.held_out(4, 2)))
+    names, scores = langid.Predictor(net)([r.text.encode() for r in rows.values()])
+    least = langid.OVER_CHANCE / len(net.languages)
+    kept = {d for d, name, score in zip(rows, names, scores) if name != "und" and score >= least}
+    assert kept <= {d for d, r in rows.items() if langid.has_letter(r.text.encode())}
     model = toxicity.train(docs.where(docs.doc_id.isin(list(kept))), labels)
     if model is not None:
         kept = {d for d in kept if model.score(model.worst([rows[d].text]))[0] < 0.5}

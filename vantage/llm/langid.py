@@ -11,6 +11,7 @@ one per single byte for odd widths, so no embedding is multiplied at prediction
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,12 +26,14 @@ UNDETERMINED = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """``rows_per_language`` and ``excerpt`` bound the training sample (rows of a language, characters of a row)."""
+    """``languages``, ``rows_per_language`` and ``excerpt`` bound the training sample: labels learned (the most frequent),
+    rows of a language, characters of a row."""
 
     window: int = 256
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 8
     embedding: int = 8
+    languages: int = 200
     rows_per_language: int = 400
     excerpt: int = 1024
     epochs: int = 8
@@ -190,8 +193,8 @@ def sample(docs: DataFrame, s: Settings) -> list[tuple[str, str]]:
     Languages are counted first and rows pass by a hash threshold set for about a third more than are wanted, so what
     meets for the final choice doesn't grow with the table or its tasks."""
     known = docs.where("text is not null and lang is not null and text <> ''")
-    share = settle(known.groupBy("lang").agg(
-        (F.lit(1.3 * s.rows_per_language + 50) / F.count(F.lit(1))).alias("share")), "language-shares")
+    frequent = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(s.languages)
+    share = settle(frequent.select("lang", (F.lit(1.3 * s.rows_per_language + 50) / F.col("n")).alias("share")), "language-shares")
     start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - s.excerpt, F.lit(0)) + 1) + 1
     rows = (known.select("lang", F.xxhash64("doc_id", "text").alias("h"), "doc_id", "text").join(share, "lang")
             .where(F.shiftrightunsigned("h", 11) * 2.0 ** -53 < F.col("share"))
@@ -259,8 +262,28 @@ def predictions(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     return got.select("doc_id", "held_out", "language.lang_pred", "language.score")
 
 
-def accepted(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language can be determined; learned as in ``predictions``."""
+#: How much likelier than chance a text's language must be to be told.
+OVER_CHANCE = 1.2
+
+
+def accepted(docs: DataFrame, settings: Settings | None = None, languages: Collection[str] | None = None,
+             least: float | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, whose predicted language is one of ``languages`` (all learned ones) with a score of
+    ``least`` at least; learned as in ``predictions``.
+
+    By default ``least`` is 1.2 times what a guess among the learned languages scores, so texts go that the network can't
+    place. Null and letterless texts have no language and go. Without any labelled row nothing can be judged: then every
+    text with a letter stays, unless ``languages`` are asked for, which none can be shown to be in. Rows of an empty
+    table are none; repeated rows have the same fate."""
+    net = train(docs.where(~held_out(4, 2)), settings)
+    if not net.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}")) if languages is None else docs.limit(0)
+    if least is None:
+        least = OVER_CHANCE / len(net.languages) if len(net.languages) > 1 else 0.0
     name = free_name(docs, "language")
-    got = identify(docs, train(docs.where(~held_out(4, 2)), settings), out=name)
-    return got.where(col(name)["lang_pred"] != UNDETERMINED).drop(col(name))
+    got = identify(docs, net, out=name)
+    found = col(name)
+    kept = (found["lang_pred"] != UNDETERMINED) & (found["score"] >= least)
+    if languages is not None:
+        kept = kept & found["lang_pred"].isin(*languages)
+    return got.where(kept).drop(found)
