@@ -181,3 +181,25 @@ def test_a_hot_sku_is_split(spark):
         sku, second = int(r.sku_name[4:]), r.id % 400
         want = None if sku >= 1000 else sku + 1000 * min(second // 100, 2)
         assert (None if r.list_price is None else int(r.list_price)) == want
+
+
+def test_checks_are_answered_from_footers(spark, tmp_path):
+    """Over stored sources C1, C2 and C4 read no rows: counts are pushed into the scan, and other days' files are pruned."""
+    from vantage import registry
+    from vantage.plans import checks
+    from vantage.sources.materialize import materialize
+    from vantage.sources.telemetry import Telemetry
+
+    fixture = registry.telemetry(spark, "/root/testdata/sf0.001")
+    stored = materialize(fixture, str(tmp_path), ["usage", "audit", "jobs", "clusters"])
+    setting = spark.conf.get("spark.sql.sources.useV1SourceList")
+    for t in (stored, Telemetry.from_parquet(spark, str(tmp_path))):
+        for check, group in ((checks.billing_freshness, "usage_date"), (checks.audit_freshness, "event_date"), (checks.job_records, "")):
+            plan = _plan(check(t, A))
+            assert "PushedAggregation: [COUNT(*)]" in plan and f"PushedGroupBy: [{group}]" in plan, plan
+            assert check(t, A).collect() == check(fixture, A).collect()
+        assert checks.cluster_records(t, A).collect() == checks.cluster_records(fixture, A).collect()
+        assert "PartitionFilters: [isnotnull(usage_date" in _plan(checks.billing_freshness(t, A))
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == setting and "parquet" in setting
+    empty = checks.billing_freshness(stored, AsOf("2030-01-01")).first()
+    assert tuple(empty) == (None, 0)

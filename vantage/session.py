@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # counts by partition come from file footers where a source allows it
+    "spark.sql.parquet.aggregatePushdown": "true",
     # columnar files are smaller than their rows: sizes compared with the broadcast threshold count them so often
     "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.ui.enabled": "false",

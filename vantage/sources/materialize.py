@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.sources.telemetry import Telemetry
+from vantage.sources.telemetry import Telemetry, by_footers
 
 # Fact tables and their partition column.
 PARTITION_COLUMNS = {
@@ -51,11 +51,12 @@ def materialize(t: Telemetry, root: str, names: list[str] | None = None) -> Tele
     ``Telemetry`` reading them back."""
     spark = t.spark
     names = names or [n for n in t.available()]
-    loaders = {}
+    loaders, counted = {}, {}
     for name in names:
         df = t.table(name)
         path = f"{root.rstrip('/')}/{name}"
         write_source(df, path, PARTITION_COLUMNS.get(name), cluster_col=CLUSTER_COLUMNS.get(name))
         schema = df.schema
         loaders[name] = (lambda p=path, s=schema: spark.read.schema(s).parquet(p))
-    return Telemetry(spark, loaders, money=t.money)
+        counted[name] = (lambda p=path, s=schema: by_footers(spark, p, s))
+    return Telemetry(spark, loaders, money=t.money, name=t.name, counted=counted)

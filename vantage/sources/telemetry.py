@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from vantage.sources.schemas import SOURCES
 
@@ -21,6 +22,21 @@ PLATFORM_TABLES = {
     "query_history": "system.query.history",
 }
 
+
+def by_footers(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A parquet dataset as a source into which Spark pushes aggregates (``session.DEFAULT_CONF`` allows it).
+
+    Its first-version reader, the default, doesn't take them. Which reader is used is settled when the path is loaded, so
+    the setting is changed for that moment only; other sources keep the default."""
+    key = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ",".join(x for x in before.split(",") if x != "parquet"))
+    try:
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    finally:
+        spark.conf.set(key, before)
+
+
 # Tables that are not telemetry sources but feed a query (N2 reads response texts).
 EXTRA_TABLES = ("conversations",)
 
@@ -32,11 +48,13 @@ class Telemetry:
     DataFrame; each is called at most once. Nothing is read until a query
     is executed. ``money`` is the decimal type that costs are computed in
     (see ``operators.pricing``); ``name`` tells sets of sources apart where their
-    summaries are saved.
+    summaries are saved; ``counted`` has loaders of the same sources for queries
+    that only count (see ``for_counts``).
     """
 
     def __init__(self, spark: SparkSession, loaders: Mapping[str, Callable[[], DataFrame]],
-                 money: str | None = None, name: str = "default"):
+                 money: str | None = None, name: str = "default",
+                 counted: Mapping[str, Callable[[], DataFrame]] | None = None):
         unknown = set(loaders) - set(SOURCES) - set(EXTRA_TABLES)
         if unknown:
             raise ValueError(f"unknown sources: {sorted(unknown)}")
@@ -46,6 +64,7 @@ class Telemetry:
         self._derived: dict[object, object] = {}
         self.money = money
         self.name = name
+        self._counted = dict(counted or {})
 
     # -- construction -----------------------------------------------------
     @classmethod
@@ -57,7 +76,8 @@ class Telemetry:
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, **kw) -> "Telemetry":
         """Sources stored as ``<root>/<name>`` parquet datasets (e.g. partitioned by date)."""
-        return cls(spark, {k: (lambda k=k: spark.read.parquet(f"{root}/{k}")) for k in SOURCES}, **kw)
+        return cls(spark, {k: (lambda k=k: spark.read.parquet(f"{root}/{k}")) for k in SOURCES},
+                   counted={k: (lambda k=k: by_footers(spark, f"{root}/{k}")) for k in SOURCES}, **kw)
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame], **kw) -> "Telemetry":
@@ -78,6 +98,13 @@ class Telemetry:
             self._frames[name] = self._loaders[name]()
         return self._frames[name]
 
+    def for_counts(self, name: str) -> DataFrame:
+        """The source for a query that only counts rows by partition: where it is stored as files, Spark then answers from
+        the files' footers and reads no row. Elsewhere the source as it is."""
+        if name not in self._counted:
+            return self.table(name)
+        return self.memo(("counted", name), self._counted[name])
+
     def available(self) -> list[str]:
         return list(self._loaders)
 
