@@ -83,3 +83,20 @@ def test_empty_tables(spark):
     assert decontamination.report(docs.limit(0), items).collect() == []
     assert {(r.n_hit, r.contaminated) for r in decontamination.report(docs, items.limit(0)).collect()} == {(0, False)}
     assert decontamination.clean(edge_docs(spark), items).count() == 9
+
+
+def test_a_window_of_many_items_is_broadcast_once(spark, monkeypatch):
+    """Beyond the bound no set holds more windows than it, whatever the number of items that share one; clashing names and
+    repeated documents included."""
+    common = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    items = spark.createDataFrame([(f"i{k}", common) for k in range(300)] + [(f"own{k}", f"{common[4:]} tail{k}") for k in range(40)]
+                                  + [(None, common)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"well {common} indeed", "x"), (2, f"{common} tail3", "y"), (2, f"{common} tail3", "y"), (3, "clean", "z"), (4, None, "w")],
+                                 "doc_id long, text string, rid string")
+    sizes, made = [], decontamination.WindowSet.__init__
+    monkeypatch.setattr(decontamination.WindowSet, "__init__", lambda self, rows: sizes.append(len(rows)) or made(self, rows))
+    few = decontamination.scan(docs, items, most_windows=20).collect()
+    assert len(sizes) > 1 and max(sizes) <= 20 and sum(sizes) == 41
+    sizes.clear()
+    assert sorted(map(repr, few)) == sorted(map(repr, decontamination.scan(docs, items).collect())) and sizes == [340 + 1]
+    assert {r.doc_id: r.found.n_items for r in few} == {1: 300, 2: 301, 3: 0, 4: 0}

@@ -1,12 +1,14 @@
 """Benchmark decontamination: windows of benchmark words found in documents.
 
 The benchmark's distinct windows (13 consecutive words; a shorter item is one window) are broadcast as a hash set over
-word numbers. The set's size is counted first: beyond ``most_windows`` the windows are dealt by hash into several sets
-and the documents pass by each in turn, with the covered spans written in between, so no broadcast exceeds the bound.
+word numbers. Its size is counted first. Beyond ``most_windows`` pairs of an item and a window, each distinct window gets an
+id, the ids are dealt by hash into sets within the bound, and the documents pass by each set in turn, with what was found
+written in between; the items of the windows found are joined at the end. So a window that every item shares is broadcast
+once, and nothing that the driver or a worker holds grows with the benchmark.
 
 A document is scanned once per set with numpy: words become numbers (0 for a word no window has), all windows of a
 batch get a polynomial rolling hash at once, and what falls in the set is verified against the window's own words.
-Nothing of the documents is shuffled.
+Nothing of the documents is shuffled, but for the windows found in the case of several sets.
 """
 
 from __future__ import annotations
@@ -156,20 +158,29 @@ def scan(docs: DataFrame, benchmark: DataFrame, out: str = "found", width: int =
     Null and wordless texts have no words and are clean. An item with a null id hits words but isn't listed. An empty
     benchmark hits nothing. Repeated items count once, repeated documents stay."""
     windows = settle(item_windows(benchmark, width), "windows")
-    passes = max(1, -(-windows.count() // most_windows))
-    got = docs
-    names = []
+    spark = docs.sparkSession
+    if windows.count() <= most_windows:  # one set, items included: scan and summary in one go
+        search = _scan(spark.sparkContext.broadcast(WindowSet([(r.item, r.window) for r in windows.collect()])))
+        return docs.withColumn(out, batch_udf(lambda: _then(search(), _summary), SUMMARY)(F.col("text")))
+    # distinct windows get ids, which the scans find; whose windows they are is joined afterwards
+    known = settle(windows.select("window").distinct().withColumn("wid", F.monotonically_increasing_id().cast("string")), "window-ids")
+    passes = -(-5 * known.count() // (4 * most_windows))  # a quarter more than needed, as a hash deals unevenly
+    rid = free_name(docs, "rid")
+    got, names = settle(docs.withColumn(rid, F.monotonically_increasing_id()), "window-rows"), []
     for p in range(passes):
-        rows = windows.where(F.pmod(F.xxhash64("window"), F.lit(passes)) == p).collect()
-        spec = docs.sparkSession.sparkContext.broadcast(WindowSet([(r.item, r.window) for r in rows]))
-        if passes == 1:  # one set: scan and summary in one go
-            search = _scan(spec)
-            return docs.withColumn(out, batch_udf(lambda: _then(search(), _summary), SUMMARY)(F.col("text")))
+        rows = known.where(F.pmod(F.xxhash64("window"), F.lit(passes)) == p).select("wid", "window").collect()
+        spec = spark.sparkContext.broadcast(WindowSet([(r.wid, r.window) for r in rows]))
         names.append(free_name(got, f"{out}_part{p}"))
         got = settle(got.withColumn(names[-1], batch_udf(_scan(spec), FOUND)(F.col("text"))), "window-pass")
+    hits = got.select(col(rid).alias("r"), F.explode(F.array_distinct(F.concat(*(col(n)["items"] for n in names)))).alias("wid"))
+    whose = known.join(windows, "window").where("item is not null").select("wid", "item")
+    items = (hits.join(whose, "wid").select("r", "item").distinct().groupBy("r").agg(F.collect_list("item").alias("i"))
+             .select(F.col("r").alias(f"{rid}_"), F.col("i").alias(f"{rid}_items")))
+    got = got.join(items, col(rid) == col(f"{rid}_"), "left")
     joined = F.struct(col(names[0])["n_words"].alias("n_words"),
-                      *(F.concat(*(col(n)[k] for n in names)).alias(k) for k in ("starts", "sizes", "items")))
-    return got.withColumn(out, batch_udf(lambda: _summary, SUMMARY)(joined)).drop(*names)
+                      *(F.concat(*(col(n)[k] for n in names)).alias(k) for k in ("starts", "sizes")),
+                      F.coalesce(col(f"{rid}_items"), F.array().cast("array<string>")).alias("items"))
+    return got.withColumn(out, batch_udf(lambda: _summary, SUMMARY)(joined)).select(*map(col, docs.columns), col(out))
 
 
 def _then(first, second):
