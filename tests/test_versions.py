@@ -180,6 +180,22 @@ def test_day_refreshes_in_flight_keep_each_others_days(spark, schema, tmp_path):
     assert shown(spark, table) == [("2024-01-01", 10), ("2024-01-02", 200), ("2024-01-03", 300)]
 
 
+def test_tables_whose_names_begin_alike_are_let_be(spark, schema):
+    for name in ("alike__plan", "alike__views"):
+        store.write_table(spark.range(2), f"{schema}.{name}")
+    for n in (1, 2, 3):
+        store.write_table(spark.range(n), f"{schema}.alike")
+    assert spark.table(f"{schema}.alike__plan").count() == spark.table(f"{schema}.alike__views").count() == 2
+    assert len(store.versions(spark, f"{schema}.alike")) == 2
+
+
+def test_days_need_one_date_column(spark, schema):
+    store.write_table(days(spark, [("2024-01-01", 1)]), f"{schema}.whole")
+    with pytest.raises(ValueError, match="not partitioned"):
+        store.replace_days(days(spark, [("2024-01-01", 2)]), f"{schema}.whole", "day", "2024-01-01", "2024-01-01")
+    assert shown(spark, f"{schema}.whole") == [("2024-01-01", 1)]
+
+
 def test_overlay():
     full, part = {}, lambda a, b: {"first": a, "last": b}
     v = lambda n: f"s.t__v{n}"

@@ -128,8 +128,8 @@ def overlay(found: Mapping[str, Mapping[str, str]]) -> list[str]:
 def _composed(spark: SparkSession, table: str, parts: list[str]) -> str:
     """A table of metadata alone, whose days are folders of the version tables ``parts``, the newest that covers a day."""
     about = {v: properties(spark, v) or {} for v in parts}
-    day = about[parts[0]]["by"]
-    if any(p["by"] != day for p in about.values()) or not day or "," in day:
+    day = about[parts[0]].get("by", "")
+    if any(p.get("by") != day for p in about.values()) or not day or "," in day:
         raise ValueError(f"{table} is not partitioned by one date column throughout")
     folders: dict[str, str] = {}
     for v in parts:  # oldest first
@@ -166,7 +166,8 @@ def versions(spark: SparkSession, table: str, kind: str = "v") -> list[str]:
     versions, of kind ``s`` rows staged for a log."""
     schema, _, name = _ident(table).rpartition(".")
     listed = spark.sql(f"SHOW TABLES{' IN ' + schema if schema else ''} LIKE '{name}__{kind}*'").collect()
-    return sorted((f"{schema}." if schema else "") + r.tableName for r in listed)
+    own = re.compile(re.escape(f"{name}__{kind}") + r"\d+", re.IGNORECASE)  # no other table whose name begins alike
+    return sorted((f"{schema}." if schema else "") + r.tableName for r in listed if own.fullmatch(r.tableName))
 
 
 def _current(spark: SparkSession, table: str) -> list[str]:
@@ -229,7 +230,8 @@ def create_live_views(t: Telemetry, schema: str, sources: Mapping[str, str], as_
     """K2: the five views (``v_...``) as catalog views over the source tables, computed when read; returns name -> view.
 
     Any session of the catalog sees them, and "now" in their text is the reader's, so they need no refresh. ``sources``
-    names the catalog table of each source; ``as_of`` fixes the instant (tests)."""
+    names the catalog table of each source; ``as_of`` fixes the instant (tests). A schema has either these or stored ones
+    (``refresh_views``), which won't replace them."""
     out = {}
     for name, text in view_texts(t, sources, AsOf.of(as_of)).items():
         out[name] = f"{_ident(schema)}.{name}"
