@@ -78,6 +78,21 @@ def test_gadgets_give_what_merging_gives(seed):
         assert [tokens[i] for i in machine.run(word)] == merged(list(word), ranks)
 
 
+def test_neighbours_of_the_whole_vocabulary(ours, theirs):
+    rng = random.Random(5)
+    bodies = [t for t in ours.labels if t and t.removesuffix(bpe.WORD_END).isascii() and t.removesuffix(bpe.WORD_END).isalpha()]
+    starts = [t for t in bodies if not t.endswith(bpe.WORD_END)]
+    for _ in range(4000):
+        word = rng.choice(starts) + rng.choice(starts) + rng.choice(bodies).removesuffix(bpe.WORD_END)
+        got = ours.run([*word[:-1], word[-1] + bpe.WORD_END])
+        assert got == theirs.encode(word, add_special_tokens=False).ids, word
+
+
+def test_the_compiled_table_is_small(ours):
+    states = len(ours.ids)
+    assert len(ours.cuts) < 25 * states and max(ours.last) == len(ours.cuts)
+
+
 def test_vocabularies_it_cannot_compile():
     with pytest.raises(ValueError, match="two merges"):
         Automaton.compile({"a": 0, "b": 1, "ab": 2, "ba": 3, "aba": 4}, [("a", "b"), ("b", "a"), ("ab", "a"), ("a", "ba")], {})
@@ -91,7 +106,6 @@ def test_small_caches_change_nothing(monkeypatch, ours):
     texts = random_texts(300)
     whole = [ours.encode(t) for t in texts]
     monkeypatch.setattr(bpe, "CACHE", 4)
-    monkeypatch.setattr(bpe, "TABLE", 4)
     fresh = Automaton.from_file(tokenizer_path())
     assert [fresh.encode(t) for t in texts] == whole
 

@@ -7,11 +7,15 @@ gives. It starts with one arc per base symbol from every state, and each merge u
 * an arc w enters wherever an arc u does (after the next line);
 * the arc v out of state u goes away: u followed by v is now w.
 
-``compile`` records each token's gadget. An arc's existence follows the gadgets back to base symbols, newest first, and
-is filed in the transition table when first asked for, since of 49,000 x 49,000 arcs texts use few. A pre-split word is
-encoded by running its symbols through the table: a trie names the arcs that spell what comes next, and at each place one
-state at most can be reached, because a prefix of a merged sequence is the merged sequence of its own string. Decoding
-emits the arcs' labels.
+``compile`` applies the gadgets in turn. Of 49,000 x 49,000 arcs nearly all exist, so a state's row of the transition table
+holds the arcs it lacks. Tokens are numbered so that these are few intervals: a token comes right after the tokens that
+begin with it (those made of it and a right neighbour, in order of their merges, each after its own). Taking arc v out of
+state u at merge k also keeps out every token that later merges build on v, which is one interval that ends at v.
+
+A pre-split word is encoded by transitions alone, from left to right and without going back: from the state at each place,
+a trie names the tokens that spell what comes next, and those with an arc enter the places where they end. A place is
+entered once, because a prefix of a merged sequence is the merged sequence of its own string. Decoding emits the arcs'
+labels.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,8 +41,6 @@ WORD_END = "</w>"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Runs of text kept at a time, twice: what was used since the last turn, and before.
 CACHE = 150_000
-#: Arcs filed at a time; they are found anew after that.
-TABLE = 300_000
 
 
 def byte_symbols() -> list[str]:
@@ -46,18 +50,50 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in set(shown) else next(other)) for b in range(256)]
 
 
+def _numbering(left: list[int], step: list[int], order: list[int]) -> tuple[list[int], list[int], list[list[int]]]:
+    """Per token its number, the least number among the tokens that begin with it, and those one merge away (oldest first).
+
+    ``order``: the merged tokens by merge."""
+    size = len(left)
+    built: list[list[int]] = [[] for _ in range(size)]
+    for w in order:
+        built[left[w]].append(w)
+    number, least, count = [0] * size, [0] * size, 0
+    for root in (t for t in range(size) if step[t] < 0):
+        least[root] = count
+        walk = [(root, 0)]
+        while walk:
+            token, done = walk.pop()
+            if done < len(built[token]):
+                walk.append((token, done + 1))
+                least[built[token][done]] = count
+                walk.append((built[token][done], 0))
+            else:
+                number[token] = count
+                count += 1
+    return number, least, built
+
+
+def _without(cuts: list[int], low: int, high: int) -> list[int]:
+    """``cuts`` (borders of disjoint intervals, ascending) with low <= x < high taken in as well."""
+    i, j = bisect_left(cuts, low), bisect_right(cuts, high)
+    return [*cuts[:i], *([] if i & 1 else [low]), *([] if j & 1 else [high]), *cuts[j:]]
+
+
 @dataclass
 class Automaton:
-    """Compiled from (vocab, merges); ``special`` are the added tokens, matched in raw text."""
+    """Compiled from (vocab, merges); ``special`` are the added tokens, matched in raw text.
+
+    States and arcs go by the numbers of ``_numbering``. State s lacks arc t if an odd number of ``cuts[first[s]:last[s]]``
+    is at most t. States with equal rows by construction share them."""
 
     labels: list[str]
-    left: list[int]
-    right: list[int]
-    step: list[int]
-    merges: dict[tuple[int, int], int]
     special: dict[str, int]
+    ids: list[int]
+    first: array
+    last: array
+    cuts: array
     trie: dict = field(default_factory=dict)
-    table: dict[int, bool] = field(default_factory=dict)
     young: dict[str, bytes] = field(default_factory=dict)
     old: dict[str, bytes] = field(default_factory=dict)
 
@@ -67,25 +103,43 @@ class Automaton:
         labels = [""] * size
         for text, i in [*vocab.items(), *special.items()]:
             labels[i] = text
-        left, right, step, pairs = [-1] * size, [-1] * size, [-1] * size, {}
+        left, step, gadgets = [-1] * size, [-1] * size, []
         for k, (u, v) in enumerate(merges):
             a, b, w = vocab[u], vocab[v], vocab[u + v]
             if step[w] >= 0:
                 raise ValueError(f"two merges make {u + v!r}")
             if any(len(x) > 1 and x[1:] != WORD_END and step[vocab[x]] < 0 for x in (u, v)):
                 raise ValueError(f"{u!r} + {v!r} uses a token that no earlier merge makes")
-            left[w], right[w], step[w], pairs[a, b] = a, b, k, k
-        made = cls(labels, left, right, step, pairs, special)
+            left[w], step[w] = a, k
+            gadgets.append((a, b, w))
+        number, least, built = _numbering(left, step, [w for _, _, w in gadgets])
+        whole: list[int] = []
+        rows = [whole] * size  # per token the borders of what its state lacks; rows are replaced, never changed
         lost = set()  # tokens whose gadget finds no arc v after an arc u: nothing is ever merged to them
-        for (a, b), k in pairs.items():
-            if a in lost or b in lost or not made._follow(a, b, k):
-                lost.add(vocab["".join(merges[k])])
+        for k, (a, b, w) in enumerate(gadgets):
+            if a in lost or b in lost or bisect_right(rows[a], number[b]) & 1:
+                lost.add(w)
+                continue
+            rows[w] = rows[b]
+            later = bisect_left(built[b], k, key=step.__getitem__)
+            low = least[built[b][later]] if later < len(built[b]) else number[b]
+            rows[a] = _without(rows[a], low, number[b] + 1)
+        ids, first, last, cuts = [0] * size, array("i", [0]) * size, array("i", [0]) * size, array("i")
+        filed: dict[int, tuple[int, int]] = {}
+        for token, row in enumerate(rows):
+            if id(row) not in filed:
+                filed[id(row)] = (len(cuts), len(cuts) + len(row))
+                cuts.extend(row)
+            n = number[token]
+            ids[n] = token
+            first[n], last[n] = filed[id(row)]
+        made = cls(labels, special, ids, first, last, cuts)
         for text, i in vocab.items():
             if (step[i] >= 0 and i not in lost) or (step[i] < 0 and len(text.removesuffix(WORD_END)) == 1):
                 node = made.trie
                 for symbol in symbols(text):
                     node = node.setdefault(symbol, {})
-                node[""] = i
+                node[""] = number[i]
         return made
 
     @classmethod
@@ -96,65 +150,38 @@ class Automaton:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         return cls.compile(spec["model"]["vocab"], merges, special)
 
-    def arc(self, a: int, b: int) -> bool:
-        """Whether the arc b leaves state a."""
-        known = self.table.get(a << 32 | b)
-        if known is None:
-            if len(self.table) >= TABLE:
-                self.table.clear()
-            known = self.table[a << 32 | b] = self._follow(a, b, len(self.merges))
-        return known
-
-    def _follow(self, a: int, b: int, until: int) -> bool:
-        """Whether the arc exists when the first ``until`` gadgets are in place."""
-        while True:
-            if self.merges.get((a, b), until) < until:
-                return False  # a gadget took this arc away
-            if (newest := max(self.step[a], self.step[b])) < 0:
-                return True
-            if a == b:
-                a, b, until = self.right[a], self.left[b], newest
-            elif self.step[a] == newest:
-                a, until = self.right[a], newest
-            else:
-                b, until = self.left[b], newest + 1
-
     def run(self, word: list[str]) -> list[int]:
-        """The arcs that spell a pre-split word's symbols: the longest token first, back where that leads nowhere."""
+        """The arcs that spell a pre-split word's symbols."""
         n = len(word)
-        trie = self.trie
-        path: list[int] = []  # tokens taken
-        ways: list[list[tuple[int, int]]] = []  # per token taken, and for the next one: what is left to try
-        dead: set[int] = set()  # places from where no way leads to the end; the state at a place is always the same
-        at = 0
-        starts = [0]
-        while at < n:
-            if len(ways) == len(path):
-                node, found = trie, []
-                for j in range(at, n):
-                    node = node.get(word[j])
-                    if node is None:
-                        break
-                    if "" in node:
-                        found.append((j + 1, node[""]))
-                ways.append(found)
-            options = ways[-1]
-            while options:
-                end, token = options.pop()
-                if end not in dead and (not path or self.arc(path[-1], token)):
-                    path.append(token)
-                    starts.append(end)
-                    at = end
-                    break
+        trie, cuts, first, last = self.trie, self.cuts, self.first, self.last
+        state = [-1] * (n + 1)  # per place the token that ends there
+        come = [0] * (n + 1)  # and where it begins
+        for at in range(n):
+            if at:
+                if (now := state[at]) < 0:
+                    continue
+                low, high = first[now], last[now]
             else:
-                if not path:
-                    raise ValueError(f"no path spells {''.join(word)!r}")
-                dead.add(at)
-                ways.pop()
-                path.pop()
-                starts.pop()
-                at = starts[-1]
-        return path
+                low = high = 0  # the start lacks no arc
+            node = trie
+            for end in range(at, n):
+                node = node.get(word[end])
+                if node is None:
+                    break
+                end += 1
+                token = node.get("")
+                if token is not None and state[end] < 0 and not (bisect_right(cuts, token, low, high) - low) & 1:
+                    state[end], come[end] = token, at
+            if state[n] >= 0:
+                break
+        else:
+            if n:
+                raise ValueError(f"no path spells {''.join(word)!r}")
+        path = []
+        while n:
+            path.append(self.ids[state[n]])
+            n = come[n]
+        return path[::-1]
 
     def chunk(self, text: str) -> bytes:
         """int32 ids of a run of normalised text without white space."""
