@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from vantage.llm.common import settle
 
 
+def with_least(rows: DataFrame, key: str, value: str, within: str, out: str) -> DataFrame:
+    """``rows`` with ``out``, the least ``value`` among the rows of its ``key``.
+
+    A key is dealt out over as many parts as there are shuffle partitions, by the hash of ``within``: minima are taken per
+    part, then per key, and go back by part. No task meets all rows of a key that many rows share."""
+    parts = max(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64(within), F.lit(parts)))
+    partial = dealt.groupBy(key, "part").agg(F.min(value).alias(out))
+    least = partial.groupBy(key).agg(F.min(out).alias(out))
+    return dealt.join(partial.select(key, "part").join(least, key), [key, "part"]).drop("part")
+
+
 def _mark(edges: DataFrame) -> tuple:
     """What two equal sets of edges share: one row to the driver."""
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")),
@@ -25,11 +37,10 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _mark(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = (with_least(both, "a", "b", "b", "m").where("b > a")
+                 .select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct())
         large = settle(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a")
+        small = (with_least(large, "a", "b", "b", "m")
                  .select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
                                            F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
                  .select("e.a", "e.b").where("a <> b").distinct())

@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import batch_udf, col, free_name, raw, settle, settle_in, ship
-from vantage.llm.components import components
+from vantage.llm.common import batch_udf, col, free_name, raw, settle, settle_in, ship, tasks_for
+from vantage.llm.components import components, with_least
 
 CHECK_BITS = 4
 
@@ -166,7 +166,9 @@ def links(prints: DataFrame, distance: int = 4, bands: int = 3, most: int = 4096
     ``most``: members of an anchor that are compared in one group; a larger anchor is dealt out over pairs of blocks,
     each pair a group of its own, so every pair of members still meets."""
     ship(prints.sparkSession)
-    near = anchored(prints, distance, bands)
+    copies = sum(max(map(len, coset_patterns(w, 1 + distance // bands))) for w in band_widths(bands))
+    count = prints.count()
+    near = anchored(prints.repartition(tasks_for(prints, count, count * copies * 32), "fp"), distance, bands)
     hot = near.groupBy("band", "anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
     hot = settle(hot.select("band", "anchor", F.ceil(F.col("n") * 2 / most).cast("int").alias("blocks")), "hot-anchors")
     block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
@@ -186,14 +188,19 @@ def grouped(docs: DataFrame, words: int = 4, distance: int = 4, key: str = "doc_
     Null and wordless texts have fingerprint 0 and link like any other. Repeated rows stay rows of their own. A null
     key counts as the largest. Other columns are ignored; an empty table gives no rows."""
     rows = settle(docs.select(col(key).alias("k"), _fingerprints(words)(F.col("text")).alias("fp")), "fingerprints")
-    prints = rows.groupBy("fp").agg(F.min("k").alias("k"))
-    roots = components(links(prints.select("fp"), distance)).withColumnRenamed("node", "fp")
-    named = prints.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "k")
-    least = named.groupBy("root").agg(F.min("k").alias("component"))
-    return (rows.join(named.select("fp", "root").join(least, "root").select("fp", "component"), "fp")
+    return (rows.join(_named(rows, "k", "component", distance), "fp")
             .select(F.col("k").alias(key), "fp", "component"))
 
 
+def _named(rows: DataFrame, rank: str, out: str, distance: int) -> DataFrame:
+    """(fp, ``out``): of each distinct fingerprint of ``rows`` the least ``rank`` in its component."""
+    prints = settle(rows.groupBy("fp").agg(F.min(rank).alias(rank)), "prints")
+    roots = components(links(prints.select("fp"), distance)).withColumnRenamed("node", "fp")
+    linked = settle(prints.join(roots, "fp"), "linked")
+    best = with_least(linked, "root", rank, "fp", out).select("fp", out)
+    return prints.join(best, "fp", "left").select("fp", F.coalesce(out, rank).alias(out))
+
+
 def hex_fingerprint(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
@@ -209,10 +216,5 @@ def deduplicate(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame
                     .withColumn(fp, _fingerprints(words)(F.col("text"))), "dedup-rows")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), col(rid).alias("rid"))
     rows = marked.select(rank.alias("rank"), col(fp).alias("fp"))
-    prints = rows.groupBy("fp").agg(F.min("rank").alias("rank"))
-    roots = components(links(prints.select("fp"), distance)).withColumnRenamed("node", "fp")
-    named = prints.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "rank")
-    best = named.groupBy("root").agg(F.min("rank").alias("best"))
-    keep = named.join(best, "root").select("fp", "best")
-    gone = settle(rows.join(keep, "fp").where("rank.rid <> best.rid").select(F.col("rank.rid").alias(rid)), "dedup-gone")
+    gone = settle(rows.join(_named(rows, "rank", "best", distance), "fp").where("rank.rid <> best.rid").select(F.col("rank.rid").alias(rid)), "dedup-gone")
     return marked.join(gone, rid, "left_anti").select(*map(col, docs.columns))
