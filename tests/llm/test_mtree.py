@@ -72,3 +72,49 @@ def test_bounds_save_distances():
     scores = vectors @ vectors[5]
     assert best == [(int(scores[i]), int(i)) for i in np.lexsort((np.arange(4000), -scores)) if i != 5][:10]
     assert tree.computed < 1500
+
+
+def test_products_beyond_a_long():
+    big = np.array([[3 * 10 ** 15 * 1024, 5], [-3 * 10 ** 15 * 1024, 3 * 10 ** 15 * 1024]], np.int64)
+    assert mtree.dots(big, np.array([1, 1], np.int64)).tolist() == [3 * 10 ** 15 * 1024 + 5, 0]
+    with pytest.raises(OverflowError):
+        mtree.dots(big[:1], np.array([3 * 10 ** 15 * 1024, 1], np.int64))
+
+
+def test_components_beyond_a_long(spark):
+    with pytest.raises(Exception, match="too large"):
+        mtree.quantized(frame(spark, [(0, [1e300])])).collect()
+
+
+def test_clusters_in_many_dimensions_leave_cells_and_pages_out(spark):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(0, 1, (30, 64))
+    centres *= rng.uniform(2, 9, 30)[:, None] / np.linalg.norm(centres, axis=1)[:, None]
+    values = centres[rng.integers(0, 30, 3000)] + rng.normal(0, 0.01, (3000, 64))
+    rows = [(i, v.tolist()) for i, v in enumerate(values)]
+    vectors = mtree.quantized(frame(spark, rows)).cache()
+    pages = mtree.build(vectors, tree_rows=60, page=16, fan=8, cell_rows=30)
+    assert pages.where("leaf").agg(F.sum(F.size("ids"))).first()[0] == 3000
+    asked = vectors.where("vec_id % 100 = 0")
+    assert found(mtree.top_k(pages, asked, 10, block=16)) == brute(rows)
+    cells = [(r.cell, r.pivot, r.radius) for r in pages.groupBy("cell").agg(
+        F.max("pivot").alias("pivot"), F.max("cell_radius").alias("radius")).orderBy("cell").collect()]
+    sizes = {r.cell: r.n for r in pages.where("leaf").groupBy("cell").agg(F.sum(F.size("ids")).alias("n")).collect()}
+    tenth = {q: s for q, rank, _, s in brute(rows) if rank == 10}
+    seen = asked.rdd.map(lambda r: (r.vec_id, r.v, tenth[r.vec_id])).toDF("vec_id long, v array<long>, least long").select(
+        mtree._promising(cells)(F.struct("v", "least")).alias("c")).collect()
+    assert sum(sizes[c] for r in seen for c in r.c) < len(seen) * 3000 / 2
+
+
+def test_a_bound_from_elsewhere_loses_nothing():
+    rng = np.random.default_rng(2)
+    vectors = rng.integers(-9, 10, (500, 3))
+    tree = mtree.Tree(mtree._build(8, 4)(__import__("pyarrow").table(
+        {"tree": [0] * 500, "vec_id": list(range(500)), "v": vectors.tolist()})).to_pylist())
+    for q in range(0, 500, 25):
+        scores = vectors @ vectors[q]
+        order = [(int(scores[i]), int(i)) for i in np.lexsort((np.arange(500), -scores)) if i != q]
+        for least in (order[0][0], order[4][0], order[9][0], order[30][0]):
+            got = tree.search(q, vectors[q], 10, least)
+            want = [x for x in order if x[0] >= least][:10]
+            assert got[:len(want)] == want
