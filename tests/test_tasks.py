@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import AS_OF, d, money, telemetry
 from vantage.functions.time import AsOf
-from vantage.plans import summary
+from vantage.plans import panels, summary, views
 
 A = AsOf(AS_OF)
 
@@ -24,3 +24,13 @@ def test_daily_cost_has_all_tasks_of_the_session(spark, t):
     assert len({r.task for r in rows}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert len(rows) == 400 and {r.sku_name: (r.estimated_cost_usd, r.unique_users) for r in rows} == {
         f"SKU_{i}": (None if i % 2 else money(2 * i), int(i % 5 > 0)) for i in range(400)}
+
+
+@pytest.mark.parametrize("build", [views.top_cost_drivers, panels.first_cost_drivers])
+def test_cost_drivers_have_all_tasks_of_the_session(spark, t, build):
+    top = build(t, A)
+    rows = top.collect()
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert f", {spark.conf.get('spark.sql.shuffle.partitions')}), REPARTITION_BY_NUM" in plan
+    n = 50 if build is views.top_cost_drivers else 20
+    assert [(r.sku_name, r.estimated_cost_usd) for r in rows] == [(f"SKU_{398 - 2 * i}", money(796 - 4 * i)) for i in range(n)]

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from vantage.functions.time import AsOf, calendar_seconds_between, floor_time, since_days, since_interval
 from vantage.operators.percentiles import percentiles
+from vantage.operators.tasks import spread
 from vantage.operators.windows import rolling_mean, running_total
 from vantage.plans.summary import ADMIN_GROUP, GROUP_CHANGE_ACTIONS, IP_DENIAL_ACTIONS, latest_jobs
 from vantage.sources.telemetry import Telemetry
@@ -76,13 +77,15 @@ def failing_jobs(t: Telemetry, as_of=None) -> DataFrame:
 def top_cost_drivers(t: Telemetry, as_of=None, limit: int = 50) -> DataFrame:
     """V3: 30-day cost per (user, product, SKU, workload), top ``limit`` by cost.
 
-    Ties are broken on the group key so the cut is deterministic.
+    Ties are broken on the group key so the cut is deterministic. There may be as many
+    groups as priced rows, so these are dealt by the group key to all tasks of the session.
     """
-    usage = t.priced_usage("left").filter(since_days("usage_date", AsOf.of(as_of), 30))
     workload = F.coalesce(col("usage_metadata.job_name"), col("usage_metadata.notebook_path"), F.lit(NO_WORKLOAD))
-    grouped = (usage.groupBy(col("identity_metadata.run_as").alias("user_or_sp"),
-                             col("billing_origin_product").alias("product"), "sku_name",
-                             workload.alias("workload_name"))
+    key = ("user_or_sp", "product", "sku_name", "workload_name")
+    usage = t.priced_usage("left").filter(since_days("usage_date", AsOf.of(as_of), 30)).select(
+        col("identity_metadata.run_as").alias("user_or_sp"), col("billing_origin_product").alias("product"), "sku_name",
+        workload.alias("workload_name"), "usage_quantity", "cost")
+    grouped = (spread(usage, *key).groupBy(*key)
                .agg(F.sum("usage_quantity").alias("total_dbus"),
                     F.sum("cost").alias("estimated_cost_usd")))
     return grouped.orderBy(*driver_order()).limit(limit)
