@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 from tests.conftest import AS_OF, d, money, telemetry
 from vantage.functions.time import AsOf
 from vantage.plans import panels, summary, views
+from vantage.sinks import store
+from vantage.sources import fixtures
 
 A = AsOf(AS_OF)
+SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 @pytest.fixture(scope="module")
@@ -34,3 +37,30 @@ def test_cost_drivers_have_all_tasks_of_the_session(spark, t, build):
     assert f", {spark.conf.get('spark.sql.shuffle.partitions')}), REPARTITION_BY_NUM" in plan
     n = 50 if build is views.top_cost_drivers else 20
     assert [(r.sku_name, r.estimated_cost_usd) for r in rows] == [(f"SKU_{398 - 2 * i}", money(796 - 4 * i)) for i in range(n)]
+
+
+def test_a_refresh_has_small_tasks(spark, monkeypatch):
+    """What a refresh shuffles is dealt to tasks of store.TASK_MB; the session's own setting holds before and after."""
+    spark.sql("CREATE SCHEMA IF NOT EXISTS vantage_small_tasks")
+    wide = spark.range(60_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("x"),
+                                      F.lit("2024-01-30").cast("date").alias("date"))
+    monkeypatch.setattr(store, "TASK_MB", 1)
+    store.write_table(wide, "vantage_small_tasks.wide", partition_by=["date"])
+    assert len(spark.table("vantage_small_tasks.wide").inputFiles()) > 1  # 4 MB; by Spark's default one task writes a date
+    assert spark.table("vantage_small_tasks.wide").select("k").distinct().count() == 60_000
+    assert spark.conf.get(SIZE, None) is None
+    spark.conf.set(SIZE, "32m")
+    try:
+        with store.small_tasks(spark):
+            assert spark.conf.get(SIZE) == "32m"
+        assert spark.conf.get(SIZE) == "32m"
+    finally:
+        spark.conf.unset(SIZE)
+
+
+def test_versions_of_one_file_are_read_by_several_tasks(spark):
+    raw = fixtures.raw_reader(spark, "/root/testdata/sf0.001")
+    held = fixtures.jobs(raw)
+    assert held.rdd.getNumPartitions() == len(fixtures.VERSION_KEYS)
+    per_job = held.groupBy("job_id").agg(F.countDistinct("change_time").alias("n"), F.count("*").alias("all"))
+    assert per_job.where("n <> 5 OR all <> 5").count() == 0 and per_job.count() > 0

@@ -7,10 +7,11 @@ through the driver is catalog metadata (names, properties, one folder a day).
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import re
 import time
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,12 +95,34 @@ def _refresh(df: DataFrame, table: str, comment: str | None, partition_by: list[
         _set(spark, version, about)
         if partition_by:
             df = df.hint("rebalance", *(F.col(c) for c in partition_by))
-        df.select(*spark.table(version).columns).write.insertInto(version)
+        with small_tasks(spark):
+            df.select(*spark.table(version).columns).write.insertInto(version)
         with lock(spark, f"{table}__lock"):
             _commit(spark, table, version, comment, publish)
     return version
 
 
+#: Shuffled bytes that a refresh's tasks are given.
+TASK_MB = 16
+
+
+@contextlib.contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution gives the tasks of a refresh ``TASK_MB`` of shuffled rows while the block runs.
+
+    By Spark's default they have 64 MB, which sorts and hash tables unfold to many times that: of a join, the aggregations
+    on it and the sort before a partitioned write. A size that was set for the session stays."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, f"{TASK_MB}m")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def _commit(spark: SparkSession, table: str, version: str, comment: str | None, publish: bool) -> None:
     """Switch ``table`` to the state with ``version`` in it. Called with the table's lock held."""
     before = _current(spark, table)
