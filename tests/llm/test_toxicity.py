@@ -172,3 +172,16 @@ def test_sample_is_full_and_texts_whole(spark):
 
 def test_even_lengths():
     assert toxicity._even([], 10) == 0 and toxicity._even([3, 4], 10) == 4 and toxicity._even([1, 50, 50], 21) == 10
+
+
+def test_the_training_holds_its_sets_of_strings_no_longer_than_needed(monkeypatch):
+    """While the driver makes the vectors, the sets of all texts' units are gone: both together were its largest memory."""
+    import gc
+
+    held = []
+    plain = toxicity.Marks.kernel
+    monkeypatch.setattr(toxicity.Marks, "kernel", lambda self, strings: held.append(
+        sum(isinstance(x, set) and "zzmark" in x for x in gc.get_objects())) or plain(self, strings))
+    rows = [(f"zzmark clean text number {i} of plain words", 0) for i in range(30)] + [(f"zzmark vilest{i % 3} slurword here {i}", 1) for i in range(30)]
+    toxicity.fit(rows, toxicity.Settings())
+    assert held and max(held) <= 1  # the words of the last text

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantage.llm.common import batch_udf, col, free_name, resident, settle, slices
+from vantage.llm.common import batch_udf, col, free_name, resident, settle, settle_in, slices
 from vantage.llm.langid import held_out
 
 _LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
@@ -140,6 +140,7 @@ class Marks:
                 dense = np.zeros((len(part), len(self.keys)))
                 dense[row, place] = weight
                 out[at:at + len(part)] = dense @ onto
+                del dense  # else the next part's is made beside it
         return out
 
     def kernel(self, strings: list[str]) -> np.ndarray:
@@ -205,8 +206,10 @@ def _svm(x: np.ndarray, y: np.ndarray, c: np.ndarray, steps: int = 60) -> tuple[
     w, now = np.zeros(a.shape[1]), float(0.5 * c.sum())
     for _ in range(steps):
         bad = y * (a @ w) < 1
-        sub = a[bad] * c[bad, None]
-        step = np.linalg.solve(hold + sub.T @ a[bad], sub.T @ y[bad]) - w
+        own = a[bad]
+        sub = own * c[bad, None]
+        step = np.linalg.solve(hold + sub.T @ own, sub.T @ y[bad]) - w
+        del own, sub
         size = 1.0
         while size > 1e-4 and loss(w + size * step) > now:
             size /= 2
@@ -246,11 +249,13 @@ def fit(rows: list[tuple[str, int]], s: Settings) -> Model | None:
         kept += own[_apart([rows[i][0] for i in own])].tolist()
     rows, toxic = [rows[i] for i in kept], toxic[kept]
     spelled: dict[str, list[str]] = {}
+    one: dict[str, str] = {}  # words share units: each is kept once
     bags = []
     for t, _ in rows:
         new = words(t)
-        spelled |= {w: [u for u in units(w, s.longest) if len(u) >= s.order] for w in new if w not in spelled}
+        spelled |= {w: [one.setdefault(u, u) for u in units(w, s.longest) if len(u) >= s.order] for w in new if w not in spelled}
         bags.append({u for w in new for u in spelled[w]})
+    del one
     chosen = _landmarks(bags, toxic, s)
     if not chosen:
         return None
@@ -262,18 +267,22 @@ def fit(rows: list[tuple[str, int]], s: Settings) -> Model | None:
         seen[int(t), h] += 1
     rate = seen / np.array([[(~toxic).sum()], [toxic.sum()]])
     able = (rate[1] > s.contrast * rate[0]) | np.array([u in chosen for u in strings])
-    marks = Marks([*chosen, *_common(bags, toxic, s, list(chosen))], s.order, s.span, s.decay)
+    common = _common(bags, toxic, s, list(chosen))
+    del bags, spelled, number  # sets of strings, larger than all that follows
+    settle_in(__name__)
+    marks = Marks([*chosen, *common], s.order, s.span, s.decay)
     values, vectors = np.linalg.eigh(marks.vectors.T @ marks.vectors)
     whiten = vectors / np.sqrt(np.maximum(values, 1e-2)) @ vectors.T
     phi = np.zeros((len(strings), len(marks.strings)), np.float32)
     belief = np.zeros(len(strings))  # before the first round: how close to a trusted toxic landmark
     trust = np.zeros(len(strings))  # that of the nearest toxic landmark
     sure = np.array(list(chosen.values())) / max(chosen.values())
-    for at in range(0, len(strings), 10_000):
-        near = marks.kernel(strings[at:at + 10_000])
-        belief[at:at + 10_000] = (near[:, :len(chosen)] * sure).max(axis=1) - 0.6
-        trust[at:at + 10_000] = sure[near[:, :len(chosen)].argmax(axis=1)]
-        phi[at:at + 10_000] = near @ whiten
+    step = 2_000  # what a part takes besides phi is memory of the driver
+    for at in range(0, len(strings), step):
+        near = marks.kernel(strings[at:at + step])
+        belief[at:at + step] = (near[:, :len(chosen)] * sure).max(axis=1) - 0.6
+        trust[at:at + step] = sure[near[:, :len(chosen)].argmax(axis=1)]
+        phi[at:at + step] = near @ whiten
     rng = np.random.default_rng(s.seed)
     negative = np.flatnonzero(~able & (seen[0] > 0))
     some = rng.permutation(negative)[:s.negatives]
@@ -422,7 +431,9 @@ def _even(lengths: list[int], most: int) -> int:
 def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model | None:
     """Learn from documents that have a label and aren't held out (crc32(doc_id) mod 5 = 0)."""
     s = settings or Settings()
-    return fit(sample(docs.where(~held_out(5, 0)), labels.where(~held_out(5, 0)), s), s)
+    model = fit(sample(docs.where(~held_out(5, 0)), labels.where(~held_out(5, 0)), s), s)
+    settle_in(__name__)  # the driver goes on with other work
+    return model
 
 
 def scored(docs: DataFrame, model: Model | None, out: str = "toxicity") -> DataFrame:
